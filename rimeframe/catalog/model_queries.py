@@ -1,11 +1,14 @@
 """Feature views and fitted models.
 
 Training data is staged once in the shared folder: fits read it many times, and a written
-table survives lost executors.
+table survives lost executors.  The single-model queries use the full model settings; queries that
+fit many models use fewer or shallower trees (``LIGHT``), on all rows all the same.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -19,6 +22,9 @@ from rimeframe.operators import evaluation as ev
 from rimeframe.operators import modelling as ml
 from rimeframe.storage import fresh_path, stage
 
+LIGHT = {"gbt": {"maxIter": 5, "maxDepth": 4}, "rf": {"numTrees": 20}}
+THREADS = 4
+
 WHOLE = ("day_of_year", "month", "frost_days_roll30")
 FEATURE_LIST = " ".join(f if f in WHOLE else f + "~" for f in fv.FEATURES)
 
@@ -174,15 +180,18 @@ def m8(spark, folder):
 
 @query("m9_parameter_grid")
 def m9(spark, folder):
-    """Each combination of the forest grid's smaller half, judged on the held-out year."""
+    """Each combination of the linear grid, judged on the held-out year."""
     train, test = staged_parts(spark, folder)
     estimator = ml.frost_pipeline("lr")
-    rows = []
-    for params in ml.parameter_grid("lr", estimator.getStages()[-1]):
-        scores = ev.ranking_metrics(estimator.fit(train, params).transform(test))
-        named = ", ".join(f"{p.name}={v}" for p, v in params.items())
-        rows.append((named, scores["roc_auc"], scores["pr_auc"]))
-    return spark.createDataFrame(rows, "params STRING, roc_auc DOUBLE, pr_auc DOUBLE")
+    grid = {
+        ", ".join(f"{p.name}={v}" for p, v in params.items()): params
+        for params in ml.parameter_grid("lr", estimator.getStages()[-1])
+    }
+    jobs = {
+        named: partial(ml.fit_and_judge, train, test, estimator.copy(params))
+        for named, params in grid.items()
+    }
+    return ml.metrics_table(spark, ml.side_by_side(spark, jobs, THREADS))
 
 
 @query("m10_cross_validation")
@@ -190,7 +199,7 @@ def m10(spark, folder):
     """All six linear combinations over three folds of whole years."""
     train, _ = staged_parts(spark, folder)
     folded = ml.year_folds(train)
-    return ml.tuning_scores(spark, ml.tune(folded, "lr", parallelism=2, fold_column="fold"))
+    return ml.tuning_scores(spark, ml.tune(folded, "lr", parallelism=THREADS, fold_column="fold"))
 
 
 @query("m11_saved_model")
@@ -205,26 +214,26 @@ def m11(spark, folder):
 @query("m12_feature_importances")
 def m12(spark, folder):
     train, _ = staged_parts(spark, folder)
-    return ml.top_features(spark, ml.frost_pipeline("rf").fit(train))
+    return ml.top_features(spark, ml.frost_pipeline("rf", **LIGHT["rf"]).fit(train))
 
 
 @query("m13_model_comparison")
 def m13(spark, folder):
     train, test = staged_parts(spark, folder)
-    return ml.metrics_table(spark, ml.compare(train, test))
+    return ml.metrics_table(spark, ml.compare(train, test, settings=LIGHT, parallelism=THREADS))
 
 
 @query("m14_ablation_without_rain")
 def m14(spark, folder):
     train, test = staged_parts(spark, folder)
-    return ml.metrics_table(spark, ml.ablation(train, test))
+    return ml.metrics_table(spark, ml.ablation(train, test, parallelism=THREADS, **LIGHT["gbt"]))
 
 
 @query("m15_horizon_skill")
 def m15(spark, folder):
     """One boosted model for each of the fifteen horizons."""
     horizons = stage(ml.horizon_view(data.gold_days(spark, folder)), "horizons")
-    return ml.horizon_skill(horizons, data.TEST_YEAR)
+    return ml.horizon_skill(horizons, data.TEST_YEAR, parallelism=THREADS, **LIGHT["gbt"])
 
 
 def _temperatures(spark, folder):
@@ -243,7 +252,7 @@ def m16_linear(spark, folder):
 @query("m16_forest_temperature")
 def m16_forest(spark, folder):
     train, test = _temperatures(spark, folder)
-    scored = ml.temperature_pipeline("forest").fit(train).transform(test)
+    scored = ml.temperature_pipeline("forest", **LIGHT["rf"]).fit(train).transform(test)
     return ev.regression_metrics(scored, "next_day_tmin_c", "prediction")
 
 

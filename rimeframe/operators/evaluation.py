@@ -6,6 +6,7 @@ bins, whose number is fixed by the caller and never grows with the data.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -242,5 +243,14 @@ def ranking_metrics(scored: DataFrame) -> dict[str, float]:
 
 
 def evaluate(scored: DataFrame) -> dict[str, float]:
-    """All six classifier metrics."""
-    return {**ranking_metrics(scored), **classification_metrics(scored).first().asDict()}
+    """All six classifier metrics.
+
+    Three jobs read the predictions, so the three columns they need are kept while they run.
+    """
+    columns = scored.select(fv.LABEL, "prediction", "rawPrediction").persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        return {**ranking_metrics(columns), **classification_metrics(columns).first().asDict()}
+    finally:
+        columns.unpersist()

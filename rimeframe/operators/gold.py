@@ -172,11 +172,19 @@ def with_region(
 
 
 def with_climate(df: DataFrame, index: DataFrame) -> DataFrame:
-    """Monthly anomaly and its phase, by (year, month); months without a value give NULL."""
-    phases = index.select(
-        "year", "month", "oni_anom", climate.enso_phase(F.col("oni_anom")).alias("enso_phase")
+    """Monthly anomaly and its phase, by (year, month); months without a value give NULL.
+
+    The broadcast is bounded by the calendar: grouping leaves one row per valid month, which is
+    twelve per year whatever the size of ``index``.  A month listed twice keeps the larger value,
+    so the join never multiplies rows.
+    """
+    monthly = (
+        index.filter(F.col("month").between(1, 12) & F.col("year").between(1, 9999))
+        .groupBy("year", "month")
+        .agg(F.max("oni_anom").alias("oni_anom"))
+        .withColumn("enso_phase", climate.enso_phase(F.col("oni_anom")))
     )
-    return df.join(phases, ["year", "month"], "left")
+    return df.join(F.broadcast(monthly), ["year", "month"], "left")
 
 
 def to_gold(

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -171,30 +174,51 @@ def metrics_table(spark: SparkSession, results: dict[str, dict[str, float]]) ->
     return spark.createDataFrame(rows, "model STRING, " + ", ".join(f"{n} DOUBLE" for n in names))
 
 
+def side_by_side(spark: SparkSession, jobs: dict, parallelism: int) -> dict:
+    """Run independent fits from several driver threads, keeping the order of their names.
+
+    Every fit is a distributed job; starting a few at once keeps a large cluster busy.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as threads:
+        running = {
+            name: threads.submit(inheritable_thread_target(spark)(job))
+            for name, job in jobs.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
+def fit_and_judge(train: DataFrame, test: DataFrame, pipeline: Pipeline) -> dict[str, float]:
+    return ev.evaluate(pipeline.fit(train).transform(test))
+
+
 def compare(
     train: DataFrame, test: DataFrame, algorithms: Iterable[str] = ("lr", "rf", "gbt"),
-    settings: dict[str, dict] | None = None,
+    settings: dict[str, dict] | None = None, parallelism: int = 1,
 ) -> dict[str, dict[str, float]]:
     """The frost rule and every algorithm, judged on the same held-out rows."""
-    results = {"rule": ev.classification_metrics(ev.with_rule(test)).first().asDict()}
-    for algorithm in algorithms:
-        pipeline = frost_pipeline(algorithm, **(settings or {}).get(algorithm, {}))
-        results[algorithm] = ev.evaluate(pipeline.fit(train).transform(test))
-    return results
+    rule = ev.classification_metrics(ev.with_rule(test)).first().asDict()
+    jobs = {
+        algorithm: partial(
+            fit_and_judge, train, test,
+            frost_pipeline(algorithm, **(settings or {}).get(algorithm, {})),
+        )
+        for algorithm in algorithms
+    }
+    return {"rule": rule, **side_by_side(train.sparkSession, jobs, parallelism)}
 
 
 def ablation(
     train: DataFrame, test: DataFrame, algorithm: str = "gbt",
-    dropped: Iterable[str] = fv.RAIN_FEATURES, **overrides,
+    dropped: Iterable[str] = fv.RAIN_FEATURES, parallelism: int = 1, **overrides,
 ) -> dict[str, dict[str, float]]:
     """The same model with all features and without a group of them."""
-    fewer = [name for name in fv.FEATURES if name not in set(dropped)]
-    return {
-        name: ev.evaluate(
-            frost_pipeline(algorithm, features, **overrides).fit(train).transform(test)
-        )
-        for name, features in (("all", fv.FEATURES), ("reduced", fewer))
+    without = set(dropped)
+    choices = {"all": fv.FEATURES, "reduced": [f for f in fv.FEATURES if f not in without]}
+    jobs = {
+        name: partial(fit_and_judge, train, test, frost_pipeline(algorithm, features, **overrides))
+        for name, features in choices.items()
     }
+    return side_by_side(train.sparkSession, jobs, parallelism)
 
 
 def horizon_view(gold: DataFrame, horizons: Iterable[int] = fv.HORIZONS) -> DataFrame:
@@ -208,18 +232,23 @@ def horizon_skill(
     test_year: int,
     horizons: Iterable[int] = fv.HORIZONS,
     algorithm: str = "gbt",
+    parallelism: int = 1,
     **overrides,
 ) -> DataFrame:
     """One model per horizon; accuracy, ROC-AUC and F1 by days ahead.
 
-    ``view`` is read twice per horizon, so pass a staged table rather than a long plan.
+    ``view`` is read several times per horizon, so pass a staged table rather than a long plan.
     """
-    rows = []
-    for k in horizons:
-        at_k = view.withColumnRenamed(f"y_h{k}", fv.LABEL).filter(F.col(fv.LABEL).isNotNull())
-        train, test = split_by_year(at_k.select("year", fv.LABEL, *fv.FEATURES), test_year)
-        scores = ev.evaluate(frost_pipeline(algorithm, **overrides).fit(train).transform(test))
-        rows.append((k, scores["accuracy"], scores["roc_auc"], scores["f1"]))
+
+    def judged(k: int) -> dict[str, float]:
+        at_k = view.filter(F.col(f"y_h{k}").isNotNull()).select(
+            "year", F.col(f"y_h{k}").alias(fv.LABEL), *fv.FEATURES
+        )
+        return fit_and_judge(*split_by_year(at_k, test_year), frost_pipeline(algorithm, **overrides))
+
+    jobs = {k: partial(judged, k) for k in horizons}
+    scores = side_by_side(view.sparkSession, jobs, parallelism)
+    rows = [(k, s["accuracy"], s["roc_auc"], s["f1"]) for k, s in scores.items()]
     return view.sparkSession.createDataFrame(
         rows, "horizon_days INT, accuracy DOUBLE, roc_auc DOUBLE, f1 DOUBLE"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
@@ -13,32 +13,54 @@ ROWS_BEFORE = max(length for _, _, length in fv.ROLLING.values()) - 1
 ROWS_AFTER = 1
 
 
+def nearest_dates(side: DataFrame, stations: DataFrame, order: Column, keep: int) -> DataFrame:
+    """Per station, the range of the ``keep`` dates that come first in the given order.
+
+    Only id and date are read.  Spark limits the ranking before the shuffle, so at most ``keep``
+    dates per station and task move, however long the history is.
+    """
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(order))
+    return (
+        side.select("id", "date")
+        .join(stations, "id", "left_semi")
+        .withColumn("position", rank)
+        .filter(F.col("position") <= keep)
+        .groupBy("id")
+        .agg(F.min("date").alias("from_date"), F.max("date").alias("to_date"))
+    )
+
+
 def with_halo(
     silver: DataFrame, first: int, last: int, before: int = ROWS_BEFORE, after: int = ROWS_AFTER
 ) -> DataFrame:
     """The years ``first..last`` plus the rows their windows reach for.
 
-    Lags and frames count rows, so no fixed number of days before the slice is enough: each
+    Lags and frames count rows, so no fixed number of days around the slice is enough: each
     station contributes its last ``before`` rows ahead of the slice and its first ``after`` rows
-    behind it.  Spark limits the ranked rows per station before the shuffle, so only a few dozen
-    rows per station move, however long the history is.  Stations without a row in the slice
-    need no halo.
+    behind it.  Stations without a row in the slice need no halo.  The dates come from a narrow
+    scan; the wide rows are then read only from the years those dates fall into, because the
+    outermost year is a scalar subquery on the partition column.
     """
     inside = only_years(silver, first, last)
     present = inside.select("id").distinct()
 
-    def nearest(side: DataFrame, order, keep: int) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("id").orderBy(order))
-        return (
-            side.join(present, "id", "left_semi")
-            .withColumn("distance", rank)
-            .filter(F.col("distance") <= keep)
-            .drop("distance")
-        )
+    history = only_years(silver, last=first - 1)
+    back = nearest_dates(history, present, F.desc("date"), before)
+    oldest = back.agg(F.min(F.year("from_date"))).scalar()
+    earlier = history.filter(F.col("year") >= oldest).join(back, "id").filter(
+        F.col("date") >= F.col("from_date")
+    )
 
-    earlier = nearest(only_years(silver, last=first - 1), F.desc("date"), before)
-    later = nearest(only_years(silver, first=last + 1), F.asc("date"), after)
-    return inside.unionByName(earlier).unionByName(later)
+    future = only_years(silver, first=last + 1)
+    ahead = nearest_dates(future, present, F.asc("date"), after)
+    newest = ahead.agg(F.max(F.year("to_date"))).scalar()
+    later = future.filter(F.col("year") <= newest).join(ahead, "id").filter(
+        F.col("date") <= F.col("to_date")
+    )
+    columns = silver.columns
+    return inside.select(columns).unionByName(earlier.select(columns)).unionByName(
+        later.select(columns)
+    )
 
 
 def rebuild_gold_years(
@@ -48,14 +70,14 @@ def rebuild_gold_years(
     climate_index: DataFrame | None = None,
     min_days: int = fv.MIN_STATION_DAYS,
 ) -> DataFrame:
-    """Gold rows of the years ``first..last``, equal to those of a full build."""
-    return only_years(
-        g.to_gold(
-            with_halo(silver, first, last),
-            climate_index,
-            min_days,
-            history=g.station_history(silver),
-        ),
-        first,
-        last,
+    """Gold rows of the years ``first..last``, equal to those of a full build.
+
+    Minimum history is judged on the whole table, not on the slice.
+    """
+    built = g.to_gold(
+        with_halo(silver, first, last),
+        climate_index,
+        min_days,
+        history=g.station_history(silver),
     )
+    return only_years(built, first, last)
