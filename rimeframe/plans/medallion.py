@@ -47,7 +47,8 @@ def build_bronze(
     """Ingest the year files of a range in one job; each year replaces its partition."""
     paths = readings.resolve_year_files(spark, folder, first_year, last_year)
     typed = bronze.to_bronze(readings.read_readings(spark, paths), elements, station_ids)
-    return layers.write_years(typed, target)
+    layers.write_years(typed, target)
+    return _rows(spark, target, first_year, last_year)
 
 
 def build_silver(
@@ -64,7 +65,8 @@ def build_silver(
     source = bronze.only_years(layers.read_layer(spark, bronze_path), first_year, last_year)
     stations = layers.read_layer(spark, stations_path)
     days = silver.to_silver(source, stations, order_by, latest)
-    return layers.write_years(days, target, sort_by=("id", "date"))
+    layers.write_years(days, target, sort_by=("id", "date"))
+    return _rows(spark, target, first_year, last_year)
 
 
 def build_gold(
@@ -85,4 +87,10 @@ def build_gold(
         low = -9999 if first_year is None else first_year
         high = 9999 if last_year is None else last_year
         built = rebuild_gold_years(days, low, high, index, min_days)
-    return layers.write_years(built, target, sort_by=("id", "date"))
+    layers.write_years(built, target, sort_by=("id", "date"))
+    return _rows(spark, target, first_year, last_year)
+
+
+def _rows(spark: SparkSession, target: str, first: int | None, last: int | None) -> int:
+    """Rows now stored for the years, counted from file footers."""
+    return bronze.only_years(layers.read_layer(spark, target), first, last).count()

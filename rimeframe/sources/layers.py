@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe.functions.sampling import hash_sampled
@@ -19,16 +19,14 @@ def write_years(
     path: str,
     by: Sequence[str] = ("year",),
     sort_by: Sequence[str] = (),
-) -> int:
-    """Replace exactly the partitions present in ``df`` and return the number of rows written.
+) -> None:
+    """Replace exactly the partitions present in ``df``.
 
     The rebalance hint lets AQE cut a year that holds most of the rows into several writers and
-    merge small years, where a plain repartition by year would give one task per year.  Rows are
-    counted while they are written.  ``sort_by`` clusters each file, which makes row-group
-    statistics useful for station lookups.
+    merge small years, where a plain repartition by year would give one task per year.
+    ``sort_by`` clusters each file, which makes row-group statistics useful for station lookups.
     """
-    counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows")).hint("rebalance", *by)
+    rows = df.hint("rebalance", *by)
     if sort_by:
         rows = rows.sortWithinPartitions(*by, *sort_by)
     (
@@ -37,7 +35,11 @@ def write_years(
         .partitionBy(*by)
         .parquet(path)
     )
-    return counted.get["rows"]
+
+
+def partition_rows(spark: SparkSession, path: str, by: Sequence[str] = ("year",)) -> DataFrame:
+    """Rows per partition of a written layer; only file footers are read."""
+    return read_layer(spark, path).groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def append_years(df: DataFrame, path: str, by: Sequence[str] = ("year",)) -> None:

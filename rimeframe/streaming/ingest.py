@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe.operators.bronze import to_bronze
-from rimeframe.sources.layers import write_years
+from rimeframe.sources.layers import partition_rows, write_years
 from rimeframe.sources.readings import stream_readings
 
 LOAD_ORDER = "load_order"
+OWNED = ("year", "source")
 
 
 def ingest_landed(
@@ -22,8 +23,8 @@ def ingest_landed(
     elements: Iterable[str] | None = None,
     station_ids: DataFrame | None = None,
     files_per_batch: int = 1,
-) -> int:
-    """Ingest every file that is not in the checkpoint yet, then stop; returns rows written.
+) -> None:
+    """Ingest every file that is not in the checkpoint yet, then stop.
 
     Each file owns the partitions ``year=…/source=<file name>``.  Replaying a batch, or reading
     the same file again under a new checkpoint, replaces exactly those partitions, so nothing
@@ -32,10 +33,9 @@ def ingest_landed(
     """
     readings = to_bronze(stream_readings(spark, landing, files_per_batch), elements, station_ids)
     ordered = readings.withColumn(LOAD_ORDER, _load_order()).drop("landed_at")
-    written = []
 
     def load(batch: DataFrame, _: int) -> None:
-        written.append(write_years(batch, bronze, by=("year", "source")))
+        write_years(batch, bronze, by=OWNED)
 
     query = (
         ordered.writeStream.foreachBatch(load)
@@ -44,7 +44,11 @@ def ingest_landed(
         .start()
     )
     query.awaitTermination()
-    return sum(written)
+
+
+def loaded_rows(spark: SparkSession, bronze: str) -> DataFrame:
+    """Rows per year and source file, from the file footers: nothing is parsed a second time."""
+    return partition_rows(spark, bronze, OWNED)
 
 
 def _load_order():
