@@ -73,12 +73,18 @@ def station_days() -> Column:
 
 
 def with_series_features(
-    df: DataFrame, frame: str = "rows", horizons: Iterable[int] = ()
+    df: DataFrame, frame: str = "rows", horizons: Iterable[int] = (), min_days: int = 0
 ) -> DataFrame:
-    """Lags, rolling statistics and labels in one projection: one exchange, one sort."""
-    return df.withColumns(
-        {**lags(), **rolling(frame), **next_day_labels(), **horizon_labels(horizons)}
-    )
+    """Lags, rolling statistics and labels in one projection: one exchange, one sort, one window.
+
+    ``min_days`` also counts the rows of each station in that window and drops short histories
+    afterwards.  Whole stations go, so the other windows are the same as if they had gone before.
+    """
+    features = {**lags(), **rolling(frame), **next_day_labels(), **horizon_labels(horizons)}
+    if min_days <= 0:
+        return df.withColumns(features)
+    counted = df.withColumns({**features, "station_days": station_days()})
+    return counted.filter(F.col("station_days") >= min_days).drop("station_days")
 
 
 def with_growing_degrees(
@@ -202,7 +208,11 @@ def to_gold(
     exchange and only the join moves the wide rows a second time.
     """
     known = with_enough_history(silver, min_days, history)
-    featured = with_growing_degrees(with_series_features(known, frame), None, missing_as_zero)
+    if history is None:
+        series = with_series_features(silver, frame, min_days=min_days)
+    else:
+        series = with_series_features(known, frame)
+    featured = with_growing_degrees(series, None, missing_as_zero)
     gold = with_region(featured, cell_deg, region_day_stats(known, cell_deg))
     if climate_index is not None:
         gold = with_climate(gold, climate_index)

@@ -46,8 +46,9 @@ def test_silver_needs_one_shuffle(lake):
 
 def test_station_windows_share_one_shuffle_and_one_sort(lake):
     built = gold.with_growing_degrees(
-        gold.with_series_features(gold.with_enough_history(lake["silver"]), horizons=range(1, 16)))
+        gold.with_series_features(lake["silver"], horizons=range(1, 16), min_days=30))
     assert count(built, "Exchange hashpartitioning") == 1
+    assert count(built, "Window") == 2
     assert count(built, "Sort") == 1
 
 
