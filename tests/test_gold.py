@@ -158,3 +158,23 @@ def test_one_station_with_a_third_of_all_rows(spark):
         known = expected[r.date]
         assert r.region_n_stations == len(known)
         assert r.region_tmin_mean == pytest.approx(sum(known) / len(known))
+
+
+def test_running_totals_equal_the_sliding_frame(spark):
+    """Long histories, gaps of NULL longer than the frame, and large leading values."""
+    values = [None if 100 <= i < 150 or i % 11 == 0 else (i * 37 % 401 - 200) / 10.0 for i in range(400)]
+    values[0] = 1234567.8
+    df = silver_table(spark, daily("a", D(2018, 1, 1), values) + daily("b", D(2019, 1, 1), values[:5]))
+    wanted = gold.rolling()
+    direct = {
+        "tmin_c_roll30_mean": F.avg("tmin_c").over(gold.trailing(30)),
+        "prcp_mm_roll30_sum": F.sum("prcp_mm").over(gold.trailing(30)),
+        "frost_days_roll30": F.sum(F.col("is_frost_day").cast("int")).over(gold.trailing(30)),
+    }
+    assert dict(df.withColumns(wanted).dtypes)["frost_days_roll30"] == "bigint"
+    for name, column_ in direct.items():
+        ours = column(df.withColumn(name, wanted[name]), name)
+        plain = column(df.withColumn(name, column_), name)
+        assert [v is None for v in ours] == [v is None for v in plain]
+        assert [v for v in ours if v is not None] == pytest.approx(
+            [v for v in plain if v is not None])
