@@ -369,40 +369,38 @@ def f12_gold(spark, folder):
 
 # --- joins, SQL text, words and sales ------------------------------------------------------
 
-def _orders_customers(spark, folder, how):
-    orders = data.table(spark, folder, "orders").filter("o_orderpriority = '1-URGENT'").select(
-        F.col("o_custkey").alias("key"), "o_orderkey"
+def _labels_vectors(spark, folder, how):
+    """Two tables that cover different ranges of ids, so both sides have unmatched rows."""
+    labels = data.table(spark, folder, "labels").withColumnRenamed("doc_id", "key")
+    vectors = data.table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("key"), F.col("label").alias("cluster")
     )
-    customers = data.table(spark, folder, "customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("key"), "c_name"
-    )
-    return orders.join(customers, "key", how).select("key", "o_orderkey", "c_name")
+    return labels.join(vectors, "key", how).select("key", "quality", "toxic", "cluster")
 
 
 def _join_sql(how: str) -> str:
-    return f"""select coalesce(o.o_custkey, c.c_custkey) as key, o_orderkey, c_name
-    from (select * from orders where o_orderpriority = '1-URGENT') o
-    {how} join (select * from customer where c_acctbal > 0) c on o.o_custkey = c.c_custkey"""
+    return f"""select coalesce(l.doc_id, e.vec_id) as key, quality, toxic, e.label as cluster
+    from labels l {how} join embeddings e on l.doc_id = e.vec_id"""
 
 
 @query("j7_inner_join", _join_sql("inner"))
 def j7_inner(spark, folder):
-    return _orders_customers(spark, folder, "inner")
+    return _labels_vectors(spark, folder, "inner")
 
 
 @query("j7_left_join", _join_sql("left"))
 def j7_left(spark, folder):
-    return _orders_customers(spark, folder, "left")
+    return _labels_vectors(spark, folder, "left")
 
 
 @query("j7_right_join", _join_sql("right"))
 def j7_right(spark, folder):
-    return _orders_customers(spark, folder, "right")
+    return _labels_vectors(spark, folder, "right")
 
 
 @query("j7_outer_join", _join_sql("full"))
 def j7_outer(spark, folder):
-    return _orders_customers(spark, folder, "outer")
+    return _labels_vectors(spark, folder, "outer")
 
 
 _A23 = """select c_mktsegment as segment, count(*) as headcount,
