@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rimeframe.llm import warc
+from rimeframe.llm import langid, simhash, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
+from rimeframe.llm.shared import fold
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -29,3 +31,26 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(index, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op4_langid")
+def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold("doc_id", 4) == 2
+    contents = langid.learn(docs.filter(langid.learnable(held_out)))
+    scored = langid.identify(docs.select("doc_id", "text"), contents)
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(True)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "margin",
+        "rejected",
+    )
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.groups(table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
