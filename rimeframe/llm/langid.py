@@ -8,9 +8,11 @@ The dictionaries hold a bounded sample of labelled rows: per language ``PIECES``
 ``PIECE_CHARS`` characters each, those with the smallest hash of (doc_id, text).  Everything that is
 scored is scored whole.
 
+Case is folded on both sides.  Equal sizes go to the language with more labelled rows, then to the
+alphabetically first; such a text is rejected.
+
 Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected; without
-any labelled row every text is ``und``; with one language every text with a letter gets it; ties go
-to the alphabetically first language and have score 1 / (number tied) or so, hence are rejected.
+any labelled row every text is ``und``; with one language every text with a letter gets it.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4096
 PIECES = 96
 PIECE_CHARS = 1200
-LEVEL = 3
+#: Levels that search longer find the short matches that tell languages apart.
+LEVEL = 9
 #: Bytes by which a size may differ before odds change by a factor of e.
 TEMPERATURE = 2.0
 #: The best size must be this much smaller than the second, as a part of it.
-LEAST_MARGIN = 0.01
+LEAST_MARGIN = 0.002
 UNKNOWN = "und"
 
 SALTS = 64
@@ -42,23 +45,24 @@ def training_pieces(labelled: DataFrame) -> DataFrame:
 
     Ranks are taken within salts first, so that one language with most rows is no single task.
     """
-    order = F.xxhash64("doc_id", "text")
     rows = labelled.filter("text is not null and lang is not null").select(
         F.col("lang").cast("string").alias("lang"),
         F.substring("text", 1, PIECE_CHARS).alias("text"),
-        order.alias("h"),
+        F.xxhash64("doc_id", "text").alias("h"),
     )
     salted = Window.partitionBy("lang", F.pmod("h", F.lit(SALTS))).orderBy("h", "text")
     final = Window.partitionBy("lang").orderBy("h", "text")
     few = rows.withColumn("n", F.row_number().over(salted)).filter(F.col("n") <= PIECES)
-    return few.withColumn("n", F.row_number().over(final)).filter(F.col("n") <= PIECES).drop("n")
+    return few.withColumn("n", F.row_number().over(final)).filter(F.col("n") <= PIECES)
 
 
 def learn(labelled: DataFrame) -> dict[str, bytes]:
-    """Dictionary content by language, from columns doc_id, text and lang."""
-    found: dict[str, list[str]] = {}
-    for row in training_pieces(labelled).orderBy("lang", "h", "text").collect():
-        found.setdefault(row["lang"], []).append(row["text"])
+    """Dictionary content by language, most frequent first, from columns doc_id, text and lang."""
+    counts = labelled.filter("text is not null and lang is not null").groupBy("lang").count()
+    ranked = counts.orderBy(F.desc("count"), "lang").collect()  # one row per language
+    found: dict[str, list[str]] = {row["lang"]: [] for row in ranked}
+    for row in training_pieces(labelled).orderBy("lang", "n").collect():
+        found[row["lang"]].append(row["text"].lower())
     return {lang: "\n".join(dict.fromkeys(texts)).encode() for lang, texts in found.items()}
 
 
@@ -66,7 +70,7 @@ class Classifier:
     """Compressors by language; made once in each task."""
 
     def __init__(self, contents: dict[str, bytes]):
-        self.langs = sorted(contents)
+        self.langs = list(contents)
         self.packers = []
         for lang in self.langs:
             content = zstandard.ZstdCompressionDict(
@@ -78,7 +82,7 @@ class Classifier:
             ).compress)
 
     def sizes(self, text: str) -> list[int]:
-        data = text.encode()
+        data = text.lower().encode()
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
         return [sum(len(pack(block)) for block in blocks) for pack in self.packers]
 
