@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import langid, simhash, warc
+from rimeframe.llm import langid, secrets, simhash, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -54,3 +54,21 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.groups(table(spark, folder, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op7_secrets", secrets.sql())
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = secrets.base_spans(F.col("spans"))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
