@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import langid, secrets, simhash, warc
+from rimeframe.llm import huffman, langid, secrets, simhash, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -72,3 +73,10 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
         secrets.span_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op5_huffman")
+def op5_huffman(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    files = huffman.write_files(table(spark, folder, "documents"), path)
+    return huffman.read_files(files, with_ids=False).drop("ids")

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from rimeframe.storage import fresh_path, stage
 
-__all__ = ["components", "fold", "folder_uri", "open_for_reading", "open_for_writing", "stage"]
+__all__ = [
+    "components", "fold", "folder_uri", "open_for_reading", "open_for_writing", "packed_stage",
+    "stage",
+]
 
 
 def fold(key: str, folds: int) -> Column:
@@ -27,6 +30,13 @@ def folder_uri(spark: SparkSession, name: str) -> str:
     return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") else uri
 
 
+def packed_stage(df: DataFrame, name: str) -> DataFrame:
+    """As ``stage``, for columns that only entropy coding makes smaller."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def open_for_writing(uri: str):
     system, path = fs.FileSystem.from_uri(uri)

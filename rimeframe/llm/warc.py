@@ -191,10 +191,11 @@ def read_records(
                 RECORD_ARROW,
             )
 
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     places = (
         index.select("file", "offset", "length")
         .withColumn("region", F.floor(F.col("offset") / most))
-        .repartition("file", "region")
+        .repartition(parts, "file", "region")
         .sortWithinPartitions("file", "offset")
         .drop("region")
     )
