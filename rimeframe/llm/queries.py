@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import huffman, langid, secrets, simhash, warc
+from rimeframe.llm import huffman, langid, sampling, secrets, simhash, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -80,3 +80,8 @@ def op5_huffman(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     files = huffman.write_files(table(spark, folder, "documents"), path)
     return huffman.read_files(files, with_ids=False).drop("ids")
+
+
+@query("op10_weighted_sampling")
+def op10_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling.edit_study(table(spark, folder, "documents"))
