@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import huffman, langid, sampling, secrets, simhash, warc
+from rimeframe.llm import huffman, langid, sampling, secrets, simhash, substrings, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -85,3 +85,8 @@ def op5_huffman(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_weighted_sampling")
 def op10_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.edit_study(table(spark, folder, "documents"))
+
+
+@query("op8_substrings")
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digests(table(spark, folder, "documents"))
