@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import huffman, langid, sampling, secrets, simhash, substrings, warc
+from rimeframe.llm import huffman, langid, sampling, secrets, simhash, substrings, toxicity, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -90,3 +90,19 @@ def op10_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_substrings")
 def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digests(table(spark, folder, "documents"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True))
+    model = toxicity.learn(docs, labels.filter(~held_out))
+    span = F.transform("spans", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.array_join(span, ",").alias("spans"),
+    )
