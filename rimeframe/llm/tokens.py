@@ -11,18 +11,29 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_OF_TEXT = 1
 #: Bytes of pieces and ids that the memo of a task may hold.
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 192 << 20
+ENTRY_BYTES = 160
+PIECES_AT_ONCE = 512
 #: Characters of text whose new pieces are encoded together.
 CHARS_AT_ONCE = 1 << 21
 
 WHITE = re.compile(r"\s \s")
+SPACE = re.compile(r"\s")
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> "Encoder":
+    """One encoder for all tasks that a Python worker runs."""
+    return Encoder(path)
 
 
 class Encoder:
@@ -37,37 +48,68 @@ class Encoder:
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.drops_space = not self._direct([" "])[0]
-        self.memo: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.first: dict[str, bytes] = {}
+        self.rest = self.first if self.drops_space else {}
         self.held = 0
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, x.ids).tobytes() for x in encoded]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        if self.drops_space:
-            return text.replace("\n", " ").split(" ")
-        if WHITE.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+    def _in_runs(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that follow a space and have no white space: many are encoded as one text.
+
+        A token belongs to the piece in which it starts.
+        """
+        runs = [pieces[i : i + PIECES_AT_ONCE] for i in range(0, len(pieces), PIECES_AT_ONCE)]
+        encoded = self.tokenizer.encode_batch(
+            [" " + " ".join(run) for run in runs], add_special_tokens=False)
+        out = []
+        for run, found in zip(runs, encoded, strict=True):
+            sizes = np.fromiter(map(len, run), np.int64, len(run)) + 1
+            ends = np.cumsum(sizes)
+            starts = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+            owner = np.searchsorted(ends, starts, side="right")
+            cuts = np.searchsorted(owner, np.arange(len(run) + 1)) * self.width
+            ids, cuts = array(self.code, found.ids).tobytes(), cuts.tolist()
+            out += [ids[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
+
+    def _learn(self, memo: dict[str, bytes], new: set[str], space: str) -> None:
+        plain = [x for x in new if x and not SPACE.search(x)] if memo is self.rest else []
+        other = list(new.difference(plain))
+        memo.update(zip(plain, self._in_runs(plain), strict=True))
+        memo.update(zip(other, self._direct([space + x for x in other]), strict=True))
+        self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(x) for x in texts]
-        new = set().union(*[x for x in cut if x is not None]) - self.memo.keys()
         if self.held > MEMO_BYTES:
-            self.memo, self.held = {}, 0
-            new = set().union(*[x for x in cut if x is not None])
-        if new:
-            ordered = list(new)
-            found = self._direct(ordered)
-            self.memo.update(zip(ordered, found, strict=True))
-            self.held += sum(map(len, ordered)) + sum(map(len, found))
-        get = self.memo.__getitem__
-        return [
-            self._direct([text])[0] if pieces is None else b"".join(map(get, pieces))
-            for text, pieces in zip(texts, cut, strict=True)
-        ]
+            self._forget()
+        alone = [not self.drops_space and WHITE.search(x) is not None for x in texts]
+        cut = [None if x else self._cut(t) for t, x in zip(texts, alone, strict=True)]
+        known = [x for x in cut if x is not None]
+        if self.drops_space:
+            self._learn(self.rest, set().union(*known) - self.rest.keys(), "")
+        else:
+            firsts = {x[0] for x in known}
+            self._learn(self.first, firsts - self.first.keys(), "")
+            rest = set().union(*[x[1:] for x in known])
+            self._learn(self.rest, rest - self.rest.keys(), " ")
+        get, out = self.rest.__getitem__, []
+        for text, pieces in zip(texts, cut, strict=True):
+            if pieces is None:
+                out += self._direct([text])
+            elif self.drops_space:
+                out.append(b"".join(map(get, pieces)))
+            else:
+                out.append(self.first[pieces[0]] + b"".join(map(get, pieces[1:])))
+        return out
+
+    def _cut(self, text: str) -> list[str]:
+        return (text.replace("\n", " ") if self.drops_space else text).split(" ")
 
     def stream(self, texts: list[str | None]):
         """Ids with the end id, text by text; a null text is empty."""
@@ -85,7 +127,7 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and ids (binary) of every row, with the end id."""
 
     def run(batches):
-        encode = Encoder(path)
+        encode = encoder(path)
         for batch in batches:
             keys, ids, held, begin = batch.column(0), [], 0, 0
             for value in encode.stream(batch.column(1).to_pylist()):
@@ -108,7 +150,6 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
 
 def id_counts(tokens: DataFrame, dtype: str, of_documents: bool = False) -> DataFrame:
     """(id, n): how often each id occurs, or in how many documents; summed in tasks first."""
-    import numpy as np
 
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
