@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import huffman, langid, sampling, secrets, simhash, substrings, toxicity, warc
+from rimeframe.llm import huffman, langid, packing, sampling, secrets, simhash, substrings, toxicity, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -106,3 +106,9 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.array_join(span, ",").alias("spans"),
     )
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, folder, "documents"), path)

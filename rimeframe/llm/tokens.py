@@ -123,8 +123,17 @@ class Encoder:
         yield from (x + end for x in self(waiting))
 
 
-def token_ids(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and ids (binary) of every row, with the end id."""
+def sketch(ids: np.ndarray) -> int:
+    """The smallest hash of two neighbouring ids: near copies mostly have the same."""
+    pairs = ids.astype(np.uint64)
+    if len(pairs) > 1:
+        pairs = (pairs[:-1] << np.uint64(32)) | pairs[1:]
+    pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return int((pairs ^ (pairs >> np.uint64(32))).min() >> np.uint64(1))
+
+
+def token_ids(docs: DataFrame, path: str, with_sketch: bool = False) -> DataFrame:
+    """doc_id, n_tokens and ids (binary) of every row, with the end id; and a sketch if wanted."""
 
     def run(batches):
         encode = encoder(path)
@@ -139,13 +148,17 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
             yield part(keys.slice(begin, len(ids)), ids, encode.width)
 
     def part(keys, ids, width):
+        columns = [
+            keys, pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+        if with_sketch:
+            found = [sketch(np.frombuffer(x, f"<u{width}")) for x in ids]
+            columns.append(pa.array(found, pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [keys, pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-            ["doc_id", "n_tokens", "ids"],
-        )
+            columns, ["doc_id", "n_tokens", "ids", "sketch"][: len(columns)])
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary")
+    schema = "doc_id bigint, n_tokens bigint, ids binary" + ", sketch bigint" * with_sketch
+    return rows.mapInArrow(run, schema)
 
 
 def id_counts(tokens: DataFrame, dtype: str, of_documents: bool = False) -> DataFrame:
