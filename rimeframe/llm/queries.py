@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import huffman, langid, packing, sampling, secrets, simhash, substrings, toxicity, warc
+from rimeframe.llm import decontaminate, huffman, langid, packing, sampling, secrets, simhash, substrings, toxicity, warc
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -112,3 +112,9 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, folder, "documents"), path)
+
+
+@query("op1_latent_leaks")
+def op1_latent_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
