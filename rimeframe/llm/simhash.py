@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimeframe.llm.shared import components, stage
@@ -252,9 +252,11 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     return dealt.mapInArrow(_linker(distance), "u bigint, v bigint")
 
 
-def groups(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+def groups(
+    docs: DataFrame, shingle: int = 4, distance: int = 4, id_column: str = "doc_id"
+) -> DataFrame:
     """doc_id, fp and component_id for every row of ``docs``."""
-    fps = stage(with_fingerprints(docs, shingle), "fingerprints")
+    fps = stage(with_fingerprints(docs, shingle, id_column), "fingerprints")
     classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes, distance))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -268,10 +270,14 @@ def groups(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """``docs`` without all but the smallest doc_id of each group; columns as they were.
 
-    Repeated rows of that doc_id are copies too: one of them stays.
+    Of rows with that doc_id one stays.  A null doc_id stands behind all others; texts tell such
+    rows apart.
     """
-    chosen = groups(docs, shingle, distance).select("component_id").distinct()
-    kept = docs.join(
-        chosen, docs["doc_id"].eqNullSafe(chosen["component_id"]), "left_semi"
-    )
-    return kept.dropDuplicates(["doc_id"])
+    key, nth = "kept by simhash: key", "kept by simhash: place"
+    stand_in = F.shiftrightunsigned(F.xxhash64(docs["text"]), 2) + (1 << 62)
+    keyed = docs.withColumn(key, F.coalesce(docs["doc_id"].cast("bigint"), stand_in))
+    chosen = groups(keyed, shingle, distance, key).select(
+        F.col("component_id").alias(key)).distinct()
+    place = Window.partitionBy(key).orderBy(F.xxhash64("text"))
+    numbered = keyed.withColumn(nth, F.row_number().over(place)).filter(F.col(nth) == 1)
+    return numbered.join(chosen, key, "left_semi").select(*docs.columns)
