@@ -52,7 +52,7 @@ OUTER = b".,;:!?\"'()[]{}<>*#$%&|-_~`"
 
 
 def normal(word: bytes) -> bytes:
-    return word.lower().strip(OUTER)
+    return word.strip(OUTER)
 
 
 class _Features(dict):
@@ -62,7 +62,7 @@ class _Features(dict):
 
 
 def _words(memo: _Features, text: str | None) -> tuple[list[bytes], np.ndarray]:
-    words = (text or "").encode().split()
+    words = (text or "").lower().encode().split()
     if len(memo) > MEMO_WORDS:
         memo.clear()
     return words, np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
@@ -164,7 +164,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 class Item:
     def __init__(self, item_id: int, text: str):
-        raw = text.encode().split()
+        raw = text.lower().encode().split()
         self.item_id = item_id
         words = [normal(w) for w in raw]
         asked = [i for i, w in enumerate(raw[:-1]) if w.endswith(b"?")]
