@@ -136,7 +136,7 @@ def _by_owner(rows: _Rows, chunk: int, owner: np.ndarray, body) -> None:
         rows.add(QUERY, chunk, int(owner[a]), body(slice(a, b)))
 
 
-def _first_level(length: int, window: int, owners: int):
+def _first_level(length: int, window: int, owners: int, chunk_words: int):
     """Chunks of documents to queries, survivors and a directory of the chunk's documents."""
 
     def run(batches):
@@ -181,7 +181,7 @@ def _first_level(length: int, window: int, owners: int):
                 docs.append((NULL_ID if doc_id is None else doc_id, text_hash))
                 hashes.append(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)))
                 held += len(words) + window
-                if held >= CHUNK_WORDS:
+                if held >= chunk_words:
                     finish()
                     docs, hashes, held = [], [], 0
                     yield from rows.full()
@@ -372,7 +372,9 @@ def _by_document(batches):
         )
 
 
-def repeated_windows(docs: DataFrame, window: int = 20) -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, window: int = 20, chunk_words: int = CHUNK_WORDS
+) -> DataFrame:
     """doc_id, hash of the text and starts of windows that also start earlier, where there are any."""
     if window < 4:
         raise ValueError("windows have four words at least")
@@ -389,7 +391,7 @@ def repeated_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     def dealt(df: DataFrame, key: str) -> DataFrame:
         return df.repartition(parts, key).sortWithinPartitions(key, "chunk", "kind")
 
-    first = rows.mapInArrow(_first_level(quarter, window, owners), ROW)
+    first = rows.mapInArrow(_first_level(quarter, window, owners, chunk_words), ROW)
     short = stage(dealt(first, "owner").mapInArrow(_answers(True), ROW), "windows")
     second = dealt(short, "chunk").mapInArrow(_next_level(half - quarter, owners), ROW)
     long = stage(dealt(second, "owner").mapInArrow(_answers(False), ROW), "windows")
@@ -409,16 +411,16 @@ def covered(starts: bytes | None, words: int, window: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def with_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+def with_repeats(docs: DataFrame, window: int = 20, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``docs`` with ``repeat_starts``; every row stays, rows of equal id and text get the same."""
-    found = repeated_windows(docs, window).dropDuplicates(["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("repeat_doc_id"), F.col("text_hash").alias("repeat_text_hash"),
+    found = repeated_windows(docs, window, chunk_words).dropDuplicates(["doc_id", "text_hash"]).select(
+        F.col("doc_id").alias("repeat: doc_id"), F.col("text_hash").alias("repeat: text_hash"),
         F.col("starts").alias("repeat_starts"),
     )
-    same = docs["doc_id"].cast("bigint").eqNullSafe(found["repeat_doc_id"]) & (
-        F.xxhash64(docs["text"].cast("string")) == found["repeat_text_hash"]
+    same = docs["doc_id"].cast("bigint").eqNullSafe(found["repeat: doc_id"]) & (
+        F.xxhash64(docs["text"].cast("string")) == found["repeat: text_hash"]
     )
-    return docs.join(found, same, "left").drop("repeat_doc_id", "repeat_text_hash")
+    return docs.join(found, same, "left").drop("repeat: doc_id", "repeat: text_hash")
 
 
 def kept_words(text: str | None, starts: bytes | None, window: int) -> tuple[list[bytes], int]:
@@ -430,7 +432,7 @@ def kept_words(text: str | None, starts: bytes | None, window: int) -> tuple[lis
     return [w for w, x in zip(words, gone.tolist(), strict=True) if not x], len(words)
 
 
-def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``docs`` with repeated words taken out of ``text``; texts without any stay as they are."""
 
     @F.pandas_udf("string")
@@ -438,14 +440,14 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         return text.combine(starts, lambda t, s: t if s is None else b" ".join(
             kept_words(t, bytes(s), window)[0]).decode())
 
-    marked = with_repeats(docs, window)
+    marked = with_repeats(docs, window, chunk_words)
     return marked.withColumn("text", cleaned("text", "repeat_starts")).drop("repeat_starts")
 
 
 DIGEST_SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
-def digests(docs: DataFrame, window: int = 20) -> DataFrame:
+def digests(docs: DataFrame, window: int = 20, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """Per document the number of words, of removed ones, and the SHA-256 of those that stay."""
 
     def run(batches):
@@ -464,5 +466,5 @@ def digests(docs: DataFrame, window: int = 20) -> DataFrame:
             )
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string"))
-    marked = with_repeats(rows, window).select("doc_id", "text", "repeat_starts")
+    marked = with_repeats(rows, window, chunk_words).select("doc_id", "text", "repeat_starts")
     return marked.mapInArrow(run, DIGEST_SCHEMA)

@@ -4,7 +4,7 @@ Tokens (white-space words, case folded, outer punctuation off) are labelled from
 a toxic document a token is toxic if its word occurs in many more toxic than other documents.  The
 field has the states plain and toxic, a weight for each hashed word and token shape, and transition
 weights; it is fitted by gradient ascent on the exact likelihood.  Forward-backward gives each token
-of a whole text its marginal; their sum and maximum give the document's score by logistic
+of a whole text its marginal; their squares' sum and maximum give the document's score by logistic
 regression, and tokens of one half or more are the offending spans.
 
 Fitting uses a bounded sample: per class the ``PER_CLASS`` labelled documents of smallest hash, and
@@ -71,14 +71,14 @@ def bucket(word: bytes) -> int:
 
 @dataclass
 class Model:
-    """Weights of the toxic state (words, then shapes), exp of transitions, document weights."""
+    """Weights of the toxic state (words, shapes, any token), exp of moves, document weights."""
 
     weights: np.ndarray
     moves: np.ndarray
     document: np.ndarray
 
     def emission(self, word: bytes) -> float:
-        value = self.weights[bucket(word)] + self.weights[BUCKETS + shape(word)]
+        value = self.weights[[bucket(word), BUCKETS + shape(word), -1]].sum()
         return float(np.exp(np.clip(value, -30.0, 30.0)))
 
     def score(self, marginals: np.ndarray) -> float:
@@ -86,8 +86,9 @@ class Model:
 
 
 def evidence(marginals: np.ndarray) -> np.ndarray:
+    """One, how much is toxic and the most toxic token; squares keep length alone from adding up."""
     top = marginals.max() if len(marginals) else 0.0
-    return np.array([1.0, np.log1p(marginals.sum()), top])
+    return np.array([1.0, np.log1p((marginals**2).sum()), top])
 
 
 def messages(emit: np.ndarray, sizes: np.ndarray, moves: np.ndarray):
@@ -201,16 +202,25 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
     begins = np.zeros(len(flat), dtype=bool)
     begins[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
     before = np.concatenate(([False], label[:-1])) & ~begins
-    weights, log_moves = np.zeros(BUCKETS + SHAPES), np.zeros((2, 2))
-    weights[BUCKETS:] = -2.0
+    weights, log_moves = np.zeros(BUCKETS + SHAPES + 1), np.zeros((2, 2))
+    weights[-1] = -2.0
     n = max(1, len(flat))
-    seen_unary = sum(
-        np.bincount(table[:, i], weights=label, minlength=len(weights)) for i in (0, 1))
+
+    def unary(values: np.ndarray) -> np.ndarray:
+        own = sum(np.bincount(table[:, i], weights=values, minlength=len(weights)) for i in (0, 1))
+        own[-1] = values.sum()
+        return own
+
+    def emissions() -> np.ndarray:
+        value = weights[table[:, 0]] + weights[table[:, 1]] + weights[-1]
+        return np.exp(np.clip(value, -30.0, 30.0))
+
+    seen_unary = unary(label)
     seen_moves = np.array([[(~before & ~label).sum(), (~before & label).sum()],
                            [(before & ~label).sum(), (before & label).sum()]], dtype=float)
     state = [np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)]
     for turn in range(1, ROUNDS + 1):
-        emit = np.exp(np.clip(weights[table[:, 0]] + weights[table[:, 1]], -30.0, 30.0))
+        emit = emissions()
         moves = np.exp(log_moves)
         forward, backward = messages(emit, sizes, moves)
         odds = forward * backward
@@ -220,9 +230,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
         joint = np.stack([np.full(n if len(flat) else 0, moves[0, 0]), moves[0, 1] * flow,
                           r * moves[1, 0], r * moves[1, 1] * flow])
         expected_moves = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        expected = sum(np.bincount(table[:, i], weights=p, minlength=len(weights)) for i in (0, 1))
         slope = np.concatenate((
-            (seen_unary - expected) / n - RIDGE * weights / n,
+            (seen_unary - unary(p)) / n - RIDGE * weights / n,
             (seen_moves - expected_moves).reshape(-1) / n - RIDGE * log_moves.reshape(-1) / n,
         ))
         state[0] = 0.9 * state[0] + 0.1 * slope
@@ -230,7 +239,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
         step = STEP * (state[0] / (1 - 0.9**turn)) / (np.sqrt(state[1] / (1 - 0.99**turn)) + 1e-9)
         weights += step[:-4]
         log_moves += step[-4:].reshape(2, 2)
-    emit = np.exp(np.clip(weights[table[:, 0]] + weights[table[:, 1]], -30.0, 30.0))
+    emit = emissions()
     moves = np.exp(log_moves)
     p = marginals(emit, sizes, moves)
     rows = np.array([evidence(x) for x in np.split(p, np.cumsum(sizes)[:-1])])
