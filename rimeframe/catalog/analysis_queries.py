@@ -101,7 +101,18 @@ def f10(spark, folder):
     f"select cast(trunc(elevation_m / 250) as int) * 250 as elev_band, {r6(FROST, 'frost_rate')}, "
     f"count(*) as n {KNOWN_FROST} and elevation_m is not null group by 1", "silver"))
 def a10(spark, folder):
-    return an.frost_by_elevation(data.silver_days(spark, folder), more_than=0)
+    return an.frost_by_elevation(data.silver_days(spark, folder), more_than=0, limits=None)
+
+
+@query("a10_frost_by_elevation_low_and_high", oracle(
+    "select cast(trunc((elevation_m * 4 - 1500) / 250) as int) * 250 as elev_band, "
+    f"{r6(FROST, 'frost_rate')}, count(*) as n {KNOWN_FROST} and elevation_m is not null group by 1",
+    "silver"))
+def a10_low_and_high(spark, folder):
+    """Stretched from far below sea level to above the usual limits."""
+    days = data.silver_days(spark, folder)
+    stretched = days.withColumn("elevation_m", F.col("elevation_m") * 4 - 1500)
+    return an.frost_by_elevation(stretched, more_than=0, limits=None)
 
 
 def _grid(size: int, where: str = "") -> str:
@@ -133,7 +144,9 @@ _LONS = (-104, -98)
     "select glat, " + ", ".join(
         r6(f"max(case when glon = {e} then 100.0 * frost_rate end)", an.column_for(e))
         for e in range(_LONS[0], _LONS[1] + 1)
-    ) + f" from ({_grid(1)}) where n > 200 and glat is not null group by glat", "silver"))
+    ) + f", count(*) filter (where glon is null or glon not between {_LONS[0]} and {_LONS[1]}) "
+    f"as cells_outside from ({_grid(1)}) where n > 200 and glat is not null group by glat",
+    "silver"))
 def a13(spark, folder):
     return an.grid_matrix(an.frost_grid(data.silver_days(spark, folder)), *_LONS)
 

@@ -15,7 +15,7 @@ from rimeframe.operators import modelling as ml
 from rimeframe.sources import fixed_width as fw
 from rimeframe.sources import layers, readings
 from rimeframe.storage import fresh_path
-from rimeframe.streaming.ingest import LOAD_ORDER, ingest_landed
+from rimeframe.streaming.ingest import OWNED, ingest_landed
 
 LONG = "id date year month element value"
 LONG_SQL = oracle(f"select {columns(LONG)} from bronze", "bronze")
@@ -124,7 +124,8 @@ def s3(spark, folder):
             _at(F.col("p_retailprice").cast("decimal(12,2)"), 12, True),
         ).alias("value")
     ).write.text(path)
-    layout = "part 1 10 bigint \n name 12 51 string \n size 53 56 int \n price 58 69 double"
+    layout = (("part", 1, 10, "bigint"), ("name", 12, 51, "string"), ("size", 53, 56, "int"),
+              ("price", 58, 69, "double"))
     return fw.read_fixed_width(spark, path, layout)
 
 
@@ -322,12 +323,44 @@ def t1_correction(spark, folder):
     """A second delivery raises every minimum by one degree; the later landing wins."""
     target, checkpoint = fresh_path(spark, "bronze"), fresh_path(spark, "checkpoint")
     landing = landed_csv(spark, folder)
-    ingest_landed(spark, landing, target, checkpoint, ("TMIN",), files_per_batch=8)
+    ingest_landed(spark, landing, target, checkpoint, files_per_batch=8)
     raised = data.raw_readings(spark, folder).filter(F.col("element") == "TMIN").withColumn(
         "value", (F.col("value").cast("int") + 10).cast("string")
     )
     raised.write.mode("append").csv(landing)
-    ingest_landed(spark, landing, target, checkpoint, ("TMIN",), files_per_batch=8)
+    ingest_landed(spark, landing, target, checkpoint, files_per_batch=8)
     long = layers.read_layer(spark, target)
-    wide = silver.to_si(silver.widen(long, LOAD_ORDER, latest=True))
+    wide = silver.to_si(silver.widen(long))
     return wide.filter(F.col("tmin_c").isNotNull()).select("id", "date", "tmin_c")
+
+
+@query("t1_same_name_files", LONG_SQL)
+def t1_same_names(spark, folder):
+    """Two landing folders with files of the same names: each keeps its rows."""
+    landing, target = fresh_path(spark, "landing"), fresh_path(spark, "bronze")
+    raw = data.raw_readings(spark, folder)
+    half = F.pmod(F.crc32("id"), F.lit(2))
+    for part in (0, 1):
+        (
+            raw.filter(half == part).repartition(4, F.substring("date_raw", 1, 4))
+            .write.csv(f"{landing}/part{part}/2000.csv")
+        )
+    ingest_landed(spark, f"{landing}/*/*", target, fresh_path(spark, "checkpoint"),
+                  tuple(fv.ELEMENTS))
+    return layers.read_layer(spark, target).select(*LONG_NAMES)
+
+
+@query("s8_stray_year", oracle(
+    "select cast(year(date) as int) as year, count(*) as n from readings where "
+    "coalesce(q_flag, '') = '' group by 1", "readings"))
+def s8_stray_year(spark, folder):
+    """Files whose readings spill over into a neighbour's year; each is ingested on its own."""
+    target = fresh_path(spark, "bronze")
+    raw = data.raw_readings(spark, folder)
+    odd = F.pmod(F.crc32("id"), F.lit(3)) == 0
+    for part in (odd, ~odd):
+        path = fresh_path(spark, "stray")
+        raw.filter(part).write.csv(path)
+        typed = bronze.to_bronze(readings.with_origin(readings.read_readings(spark, path)))
+        layers.write_years(typed, target, by=OWNED)
+    return layers.read_layer(spark, target).groupBy("year").agg(F.count(F.lit(1)).alias("n"))

@@ -60,15 +60,20 @@ def frost_rate_by(silver: DataFrame, key: str) -> DataFrame:
     return known_frost(silver).groupBy(key).agg(rate("is_frost_day").alias("frost_rate")).orderBy(key)
 
 
-def frost_by_elevation(silver: DataFrame, more_than: int = 5000) -> DataFrame:
-    """Frost share per elevation band with enough observations."""
-    low, high = fv.ELEVATION_BAND_LIMITS_M
+def frost_by_elevation(
+    silver: DataFrame,
+    more_than: int = 5000,
+    limits: tuple[int, int] | None = fv.ELEVATION_BAND_LIMITS_M,
+) -> DataFrame:
+    """Frost share per elevation band with enough observations; ``limits=None`` keeps all bands."""
+    band = F.col("elev_band")
+    wanted = F.lit(True) if limits is None else band.between(*limits)
     return (
         known_frost(silver)
         .filter(F.col("elevation_m").isNotNull())
         .groupBy(space.elevation_band(F.col("elevation_m")).alias("elev_band"))
         .agg(rate("is_frost_day").alias("frost_rate"), rows().alias("n"))
-        .filter(F.col("elev_band").between(low, high) & (F.col("n") > more_than))
+        .filter(wanted & (F.col("n") > more_than))
         .orderBy("elev_band")
     )
 
@@ -92,9 +97,12 @@ def frost_grid(silver: DataFrame, degrees: int = 1, more_than: int = 200) -> Dat
 def grid_matrix(grid: DataFrame, lon_from: int, lon_to: int, degrees: int = 1) -> DataFrame:
     """Latitude rows by longitude columns, in percent, for a declared longitude range.
 
-    The input is the aggregated grid, at most one row per cell of the globe.
+    ``cells_outside`` counts the cells of a row that no column shows: longitudes beyond the range,
+    unknown ones, and all of them where the range does not begin on the grid.  The input is the
+    aggregated grid, at most one row per cell of the globe.
     """
     edges = range(lon_from, lon_to + 1, degrees)
+    shown = F.coalesce(F.col("glon").isin(*edges), F.lit(False))
     percent = F.lit(100.0) * F.col("frost_rate")
     return (
         grid.filter(F.col("glat").isNotNull())
@@ -103,7 +111,8 @@ def grid_matrix(grid: DataFrame, lon_from: int, lon_to: int, degrees: int = 1) -
             *[
                 F.max(F.when(F.col("glon") == edge, percent)).alias(column_for(edge))
                 for edge in edges
-            ]
+            ],
+            F.count_if(~shown).alias("cells_outside"),
         )
         .orderBy("glat")
     )

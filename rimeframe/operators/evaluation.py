@@ -142,21 +142,42 @@ def curve_points(scored: DataFrame, score: str = "p1", bins: int = 1000) -> Data
     )
 
 
-def score_auc(df: DataFrame, score: Column, resolution: float = 0.1) -> DataFrame:
-    """Area under the ROC curve of a raw score; equal scores count half.
+def score_auc(df: DataFrame, score: Column, parts: int = 1000) -> DataFrame:
+    """Area under the ROC curve of a raw score, exactly; equal scores count half.
 
-    Scores are rounded to ``resolution``, which is lossless for readings on that grid and bounds
-    the number of groups by the range of the score, not by the data.
+    Labels are counted per distinct score.  Scores are ranked in up to ``parts`` ranges, whose
+    bounds come from a bounded sketch, and the ranges (one row each) are put on top of each other;
+    so no task holds all scores.  A NULL score is left out.
     """
-    step = F.round(score / F.lit(resolution)).cast("bigint").alias("step")
-    binned = df.select(step, fv.LABEL).filter("step IS NOT NULL").groupBy("step").agg(*_label_counts())
-    running = _cumulative(binned, F.desc("step"))
-    negatives_below = F.col("all_neg") - F.col("fp")
-    wins = F.col("pos") * (negatives_below + F.col("neg") / F.lit(2.0))
-    return running.agg(
-        F.try_divide(F.sum(wins), F.max(F.col("all_pos") * F.col("all_neg"))).alias("auc"),
-        F.sum("pos").alias("n_pos"),
-        F.sum("neg").alias("n_neg"),
+    counted = (
+        df.select(score.cast("double").alias("score"), fv.LABEL)
+        .filter("score IS NOT NULL")
+        .groupBy("score")
+        .agg(*_label_counts())
+    )
+    shares = [i / parts for i in range(1, parts)]
+    found = counted.agg(F.percentile_approx("score", shares).alias("bounds")).first()
+    bounds = F.lit(sorted(set(found["bounds"] or [])) or [0.0])
+    ranged = counted.withColumn("part", F.size(F.filter(bounds, lambda b: b < F.col("score"))))
+    below = (
+        Window.partitionBy("part").orderBy("score")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    half = F.col("neg") / F.lit(2.0)
+    inner = ranged.withColumn(
+        "wins", F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + half)
+    )
+    summed = inner.groupBy("part").agg(F.sum("wins").alias("wins"), F.sum("pos").alias("pos"),
+                                       F.sum("neg").alias("neg"))
+    lower = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most ``parts``
+    stacked = summed.withColumn(
+        "wins", F.col("wins") + F.col("pos") * F.coalesce(F.sum("neg").over(lower), F.lit(0))
+    )
+    n_pos, n_neg = F.sum("pos"), F.sum("neg")
+    return stacked.agg(
+        F.try_divide(F.sum("wins"), n_pos * n_neg).alias("auc"),
+        n_pos.alias("n_pos"),
+        n_neg.alias("n_neg"),
     )
 
 

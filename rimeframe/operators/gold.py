@@ -17,9 +17,6 @@ from rimeframe import fixed_values as fv
 from rimeframe.functions import climate, space
 
 
-MILLION = 1_000_000
-DIRECT_FRAME_ROWS = 7
-
 
 def station_series() -> WindowSpec:
     return Window.partitionBy("id").orderBy("year", "date")
@@ -53,35 +50,11 @@ def rolling(frame: str = "rows") -> dict[str, Column]:
 
 
 def _trailing_statistic(how: str, column: str, length: int, frame: str) -> Column:
-    """Sums and means over long row frames come from running totals, the rest from the frame.
-
-    Spark evaluates a sliding frame anew for every row, so a 30-row frame costs 30 steps; two
-    running totals cost two.
-    """
-    is_flag = column == "is_frost_day"
-    values = F.col(column).cast("int") if is_flag else F.col(column)
-    if frame == "rows" and length > DIRECT_FRAME_ROWS and how in ("avg", "sum"):
-        units = values if is_flag else F.rint(values * F.lit(MILLION)).cast("bigint")
-        total, known = _moving_total(units, length)
-        total = total if is_flag else total / F.lit(MILLION)
-        return F.when(known > 0, total / known if how == "avg" else total)
+    values = F.col(column).cast("int") if column == "is_frost_day" else F.col(column)
     summaries = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
     return summaries[how](values).over(trailing(length, frame))
 
 
-def _moving_total(units: Column, length: int) -> tuple[Column, Column]:
-    """Total and number of known values of the last ``length`` rows.
-
-    The total up to here minus the total up to ``length`` rows ago.  ``units`` are integers
-    (readings in millionths), so the difference is exact however long the history is.
-    """
-    here = station_series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = station_series().rowsBetween(Window.unboundedPreceding, -length)
-    total = F.sum(units).over(here) - F.coalesce(F.sum(units).over(before), F.lit(0))
-    known = F.count(units).over(here) - F.count(units).over(before)
-    return total, known
-
-
 def next_day_labels() -> dict[str, Column]:
     series = station_series()
     return {
@@ -236,9 +209,11 @@ def to_gold(
     """Silver to the gold layer: 20 silver columns and 26 features and labels.
 
     Labels are taken before the regional join, so the station-ordered windows share one
-    exchange and only the join moves the wide rows a second time.
+    exchange and only the join moves the wide rows a second time.  The regional statistics judge
+    histories by a list of stations, one row each, instead of sorting all station-days again.
     """
-    known = with_enough_history(silver, min_days, history)
+    listed = station_history(silver) if history is None and min_days > 0 else history
+    known = with_enough_history(silver, min_days, listed)
     if history is None:
         series = with_series_features(silver, frame, min_days=min_days)
     else:

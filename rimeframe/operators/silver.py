@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rimeframe import fixed_values as fv
 from rimeframe.functions import climate
 from rimeframe.operators.bronze import only_elements
+from rimeframe.sources.readings import LOAD_ORDER
 
 SILVER_COLUMNS = (
     "id", "date", "year", "month", "day_of_year",
@@ -24,8 +25,9 @@ def widen(
     """One row per station-day with one column per element.
 
     When a station reports an element twice on a day the choice is deterministic: the first
-    (or ``latest``) non-null value by ``order_by``, or the smallest value without an order.
-    Use a numeric or timestamp order column, so the aggregate stays hash-based.
+    (or ``latest``) non-null value by ``order_by``.  Without it the latest by ``load_order`` is
+    taken where ingest has left that column, so corrections count, and the smallest value
+    elsewhere.  Use a numeric or timestamp order column, so the aggregate stays hash-based.
 
     Filtered aggregates over (id, date) need one shuffle and combine on the map side, while a
     pivot would first group by element as well and shuffle twice.  After this step (id, date)
@@ -33,6 +35,9 @@ def widen(
     the per-station windows of the gold layer.
     """
 
+    if order_by is None and LOAD_ORDER in readings.columns:
+        order_by, latest = LOAD_ORDER, True
+
     def chosen(element: str) -> Column:
         value = F.when(F.col("element") == element, F.col("value"))
         if order_by is None:

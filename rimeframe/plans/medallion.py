@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rimeframe import fixed_values as fv
 from rimeframe.operators import bronze, gold, silver
 from rimeframe.sources import fixed_width, layers, readings
+from rimeframe.streaming.ingest import OWNED
 from rimeframe.streaming.slices import rebuild_gold_years
 
 
@@ -44,10 +45,14 @@ def build_bronze(
     elements: Iterable[str] | None = None,
     station_ids: DataFrame | None = None,
 ) -> int:
-    """Ingest the year files of a range in one job; each year replaces its partition."""
+    """Ingest the year files of a range in one job.
+
+    Years come from the readings' dates, so a file may hold days of a neighbouring year.  Every
+    file owns its ``year=…/source=…`` partitions and replaces only those.
+    """
     paths = readings.resolve_year_files(spark, folder, first_year, last_year)
-    typed = bronze.to_bronze(readings.read_readings(spark, paths), elements, station_ids)
-    layers.write_years(typed, target)
+    raw = readings.with_origin(readings.read_readings(spark, paths))
+    layers.write_years(bronze.to_bronze(raw, elements, station_ids), target, by=OWNED)
     return _rows(spark, target, first_year, last_year)
 
 

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
 
+Layout = Iterable[tuple[str, int, int, str]]
+
+
+def parse_fixed_width(lines: DataFrame, layout: Layout, line: str = "value") -> DataFrame:
+    """Cut, trim and type every field; blank or malformed fields become NULL.
 
-def parse_fixed_width(lines: DataFrame, layout: str, line: str = "value") -> DataFrame:
-    """Cut, trim and type every field of the layout; blank or malformed fields become NULL."""
+    A field is its name, first and last character (from 1) and type.
+    """
     fields = []
-    for spec in layout.strip().splitlines():
-        name, first, last, kind = spec.split()
-        start, width = int(first), int(last) - int(first) + 1
-        text = F.trim(F.substring(line, start, width))
+    for name, first, last, kind in layout:
+        text = F.trim(F.substring(line, first, last - first + 1))
         fields.append(F.nullif(text, F.lit("")).try_cast(kind).alias(name))
     return lines.select(*fields)
 
 
-def read_fixed_width(spark: SparkSession, path: str, layout: str) -> DataFrame:
+def read_fixed_width(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
     return parse_fixed_width(spark.read.text(path), layout)
 
 

@@ -52,21 +52,33 @@ def write_dimension(df: DataFrame, path: str) -> None:
 
     The rows pass through one writer task, so this is for dimensions only.
     """
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """A metrics table (a few rows) as JSON lines."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    metrics.repartition(1).write.mode("overwrite").json(path)
 
 
 def export_sample(
     df: DataFrame, path: str, fraction: float, keys: Sequence[str], seed: int = 0,
     portable: bool = False,
+    files: int = 1,
+    rows_per_file: int = 5_000_000,
 ) -> None:
-    """A keyed sample written as one Parquet file for single-machine use."""
+    """A keyed sample written as few Parquet files for single-machine use.
+
+    Rows are chosen where they are, in parallel; only the sample moves to its ``files`` writers,
+    and a writer begins another file after ``rows_per_file`` rows.
+    """
     chosen = hash_sampled([F.col(key) for key in keys], fraction, seed, portable)
-    df.filter(chosen).coalesce(1).write.mode("overwrite").parquet(path)
+    (
+        df.filter(chosen)
+        .repartition(files)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
+        .parquet(path)
+    )
 
 
 def layer_report(df: DataFrame) -> DataFrame:

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from rimeframe.operators.bronze import to_bronze
 from rimeframe.sources.layers import partition_rows, write_years
-from rimeframe.sources.readings import stream_readings
+from rimeframe.sources.readings import LOAD_ORDER, stream_readings
+
+__all__ = ["LOAD_ORDER", "ingest_landed", "loaded_rows"]
 
-LOAD_ORDER = "load_order"
 OWNED = ("year", "source")
 
 
@@ -22,23 +21,24 @@ def ingest_landed(
     checkpoint: str,
     elements: Iterable[str] | None = None,
     station_ids: DataFrame | None = None,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> None:
     """Ingest every file that is not in the checkpoint yet, then stop.
 
-    Each file owns the partitions ``year=…/source=<file name>``.  Replaying a batch, or reading
-    the same file again under a new checkpoint, replaces exactly those partitions, so nothing
-    is ever doubled, and no batch has to read what earlier ones wrote.  A correction arrives as
-    a file with a new name; ``load_order`` lets the silver layer prefer it.
+    Each file, known by its whole path, owns the partitions ``year=…/source=…``.  Replaying a
+    batch, or reading the same file again under a new checkpoint, replaces exactly those
+    partitions, so nothing is ever doubled, no file replaces another's rows, and no batch has to
+    read what earlier ones wrote.  A correction arrives as a new file; the silver layer prefers
+    it by ``load_order``.  A batch takes as many files as there are cores unless told otherwise.
     """
-    readings = to_bronze(stream_readings(spark, landing, files_per_batch), elements, station_ids)
-    ordered = readings.withColumn(LOAD_ORDER, _load_order()).drop("landed_at")
+    files = files_per_batch or spark.sparkContext.defaultParallelism
+    readings = to_bronze(stream_readings(spark, landing, files), elements, station_ids)
 
     def load(batch: DataFrame, _: int) -> None:
         write_years(batch, bronze, by=OWNED)
 
     query = (
-        ordered.writeStream.foreachBatch(load)
+        readings.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -50,7 +50,3 @@ def loaded_rows(spark: SparkSession, bronze: str) -> DataFrame:
     """Rows per year and source file, from the file footers: nothing is parsed a second time."""
     return partition_rows(spark, bronze, OWNED)
 
-
-def _load_order():
-    """Landing time first; the low bits separate files that landed in the same millisecond."""
-    return F.unix_millis("landed_at") * F.lit(4096) + F.pmod(F.hash("source"), F.lit(4096))

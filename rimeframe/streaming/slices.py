@@ -2,65 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
 from rimeframe.operators import gold as g
 from rimeframe.operators.bronze import only_years
+from rimeframe.storage import stage
 
 ROWS_BEFORE = max(length for _, _, length in fv.ROLLING.values()) - 1
 ROWS_AFTER = 1
 
 
-def nearest_dates(side: DataFrame, stations: DataFrame, order: Column, keep: int) -> DataFrame:
-    """Per station, the range of the ``keep`` dates that come first in the given order.
+def station_years(silver: DataFrame) -> DataFrame:
+    """Rows per station and year.  Only the id is read; the year is a partition value."""
+    return silver.groupBy("id", "year").agg(F.count(F.lit(1)).alias("n_days"))
 
-    Only id and date are read.  Spark limits the ranking before the shuffle, so at most ``keep``
-    dates per station and task move, however long the history is.
+
+def needed_years(
+    counts: DataFrame,
+    first: int,
+    last: int,
+    before: int = ROWS_BEFORE,
+    after: int = ROWS_AFTER,
+    min_days: int = 0,
+) -> DataFrame:
+    """The (id, year) pairs from which the years ``first..last`` can be built.
+
+    Lags and frames count rows, so no fixed number of days around the slice is enough.  Of each
+    station with rows in the slice these are its years in the slice, the latest earlier years that
+    hold ``before`` rows together, and the next later ones that hold ``after``.  A station with a
+    long gap reaches back far without making others do so.  ``min_days`` judges whole histories.
     """
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(order))
-    return (
-        side.select("id", "date")
-        .join(stations, "id", "left_semi")
-        .withColumn("position", rank)
-        .filter(F.col("position") <= keep)
-        .groupBy("id")
-        .agg(F.min("date").alias("from_date"), F.max("date").alias("to_date"))
+    year, days = F.col("year"), F.col("n_days")
+    station = Window.partitionBy("id").orderBy("year")
+    whole = station.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nearer = station.rowsBetween(1, Window.unboundedFollowing)
+    passed = station.rowsBetween(Window.unboundedPreceding, -1)
+    inside = year.between(first, last)
+
+    def days_where(condition, window):
+        return F.coalesce(F.sum(F.when(condition, days)).over(window), F.lit(0))
+
+    judged = counts.withColumns({
+        "present": days_where(inside, whole),
+        "history": F.sum(days).over(whole),
+        "behind": days_where(year < first, nearer),
+        "ahead": days_where(year > last, passed),
+    })
+    wanted = (
+        inside
+        | ((year < first) & (F.col("behind") < before))
+        | ((year > last) & (F.col("ahead") < after))
     )
+    enough = (F.col("present") > 0) & (F.col("history") >= min_days)
+    return judged.filter(enough & wanted).select("id", "year")
 
 
 def with_halo(
-    silver: DataFrame, first: int, last: int, before: int = ROWS_BEFORE, after: int = ROWS_AFTER
+    silver: DataFrame,
+    first: int,
+    last: int,
+    before: int = ROWS_BEFORE,
+    after: int = ROWS_AFTER,
+    min_days: int = 0,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """The years ``first..last`` plus the rows their windows reach for.
+    """The years ``first..last`` and the years around them that their windows reach into.
 
-    Lags and frames count rows, so no fixed number of days around the slice is enough: each
-    station contributes its last ``before`` rows ahead of the slice and its first ``after`` rows
-    behind it.  Stations without a row in the slice need no halo.  The dates come from a narrow
-    scan; the wide rows are then read only from the years those dates fall into, because the
-    outermost year is a scalar subquery on the partition column.
+    ``counts`` may supply the result of ``station_years`` kept next to silver.  The pairs wanted
+    are written once, so that the plans that read the halo don't count again.
     """
-    inside = only_years(silver, first, last)
-    present = inside.select("id").distinct()
-
-    history = only_years(silver, last=first - 1)
-    back = nearest_dates(history, present, F.desc("date"), before)
-    oldest = back.agg(F.min(F.year("from_date"))).scalar()
-    earlier = history.filter(F.col("year") >= oldest).join(back, "id").filter(
-        F.col("date") >= F.col("from_date")
-    )
-
-    future = only_years(silver, first=last + 1)
-    ahead = nearest_dates(future, present, F.asc("date"), after)
-    newest = ahead.agg(F.max(F.year("to_date"))).scalar()
-    later = future.filter(F.col("year") <= newest).join(ahead, "id").filter(
-        F.col("date") <= F.col("to_date")
-    )
-    columns = silver.columns
-    return inside.select(columns).unionByName(earlier.select(columns)).unionByName(
-        later.select(columns)
-    )
+    known = station_years(silver) if counts is None else counts
+    needed = stage(needed_years(known, first, last, before, after, min_days), "needed-years")
+    return silver.join(needed, ["id", "year"], "left_semi").select(*silver.columns)
 
 
 def rebuild_gold_years(
@@ -69,15 +84,11 @@ def rebuild_gold_years(
     last: int,
     climate_index: DataFrame | None = None,
     min_days: int = fv.MIN_STATION_DAYS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Gold rows of the years ``first..last``, equal to those of a full build.
 
     Minimum history is judged on the whole table, not on the slice.
     """
-    built = g.to_gold(
-        with_halo(silver, first, last),
-        climate_index,
-        min_days,
-        history=g.station_history(silver),
-    )
-    return only_years(built, first, last)
+    halo = with_halo(silver, first, last, min_days=min_days, counts=counts)
+    return only_years(g.to_gold(halo, climate_index, min_days=0), first, last)

@@ -60,6 +60,11 @@ def test_auc_against_all_pairs(spark):
     pairs = [(round(rng.gauss(0, 4), 1), float(rng.random() < 0.3)) for _ in range(300)]
     df = spark.createDataFrame(pairs + [(None, 1.0)], "s DOUBLE, label DOUBLE")
     assert ev.score_auc(df, F.col("s")).first().auc == pytest.approx(brute_auc(pairs))
+    tiny = [(i * 1e-4, int(i % 3 == 0 or i > 25)) for i in range(31)]
+    small = spark.createDataFrame([(s, float(y)) for s, y in tiny], "s double, label double")
+    for parts in (3, 1000):
+        exact = ev.score_auc(small, F.col("s"), parts).first().auc
+        assert exact == pytest.approx(brute_auc(tiny))
     one_class = df.filter("label = 1")
     assert ev.score_auc(one_class, F.col("s")).first().auc is None
 

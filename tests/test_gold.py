@@ -137,9 +137,35 @@ def test_halo_takes_rows_not_days(spark):
     rows += daily("gone", D(1990, 1, 1), [1.0] * 60)
     halo = with_halo(silver_table(spark, rows), 2020, 2020)
     got = column(halo, "id", "date")
-    assert len(got) == 29 + 2 + 1
-    assert got[0] == ("a", D(1990, 1, 1) + timedelta(days=21))
-    assert got[-1] == ("a", D(2030, 1, 1))
+    assert len(got) == 50 + 2 + 2  # whole years, those that hold enough rows
+    assert got[0] == ("a", D(1990, 1, 1)) and got[-1] == ("a", D(2030, 1, 2))
+
+
+def test_one_sparse_station_does_not_widen_the_halo_of_others(spark):
+    rows = daily("dense", D(2010, 1, 1), [1.0] * 4000)
+    for year in range(1941, 2021, 3):
+        rows += daily("sparse", D(year, 5, 1), [2.0])
+    df = silver_table(spark, rows)
+    halo = with_halo(df, 2019, 2020)
+    years = {r.id: r.years for r in halo.groupBy("id").agg(
+        F.sort_array(F.collect_set("year")).alias("years")).collect()}
+    assert years["dense"] == [2018, 2019, 2020]
+    assert years["sparse"] == list(range(1941, 2021, 3))
+    built = rebuild_gold_years(df, 2019, 2020, min_days=0)
+    expected = gold.to_gold(df, min_days=0).filter(F.col("year").between(2019, 2020))
+    assert rows_of(built) == rows_of(expected)
+
+
+def test_long_row_frames_are_exact(spark):
+    """Tiny, huge and invalid readings: a 30-row frame is what the same frame of days is."""
+    small = [i * 1e-7 for i in range(1, 41)]
+    df = silver_table(spark, daily("a", D(2020, 1, 1), small) + daily(
+        "b", D(2020, 1, 1), [float("nan"), 1.0, 2.0]))
+    by_rows = df.withColumns(gold.rolling("rows"))
+    by_days = df.withColumns(gold.rolling("days"))
+    name = "tmin_c_roll30_mean"
+    assert column(by_rows, name)[:40] == pytest.approx(column(by_days, name)[:40], rel=1e-12)
+    assert column(by_rows, name)[9] == pytest.approx(5.5e-7, rel=1e-9)
 
 
 def test_one_station_with_a_third_of_all_rows(spark):

@@ -11,7 +11,7 @@ from rimeframe.operators import evaluation as ev
 from rimeframe.operators import gold, silver
 from rimeframe.operators import modelling as ml
 from rimeframe.sources import layers
-from rimeframe.streaming.slices import with_halo
+from rimeframe.streaming.slices import needed_years, rebuild_gold_years, station_years
 
 
 @pytest.fixture(scope="module")
@@ -57,13 +57,18 @@ def test_gold_shuffles(spark, lake):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         built = gold.to_gold(lake["silver"])
-        assert count(built, "Exchange hashpartitioning") == 4
+        assert count(built, "Exchange hashpartitioning") == 5
         text = plan(built)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SinglePartition" not in text and "Python" not in text and "CartesianProduct" not in text
 
 
+def test_gold_moves_wide_rows_twice_where_the_station_list_is_small(lake):
+    """Station counts, station windows, cell statistics and the join of both."""
+    assert count(gold.to_gold(lake["silver"]), "Exchange hashpartitioning") <= 4
+
+
 def test_year_filter_prunes_partitions_and_columns(lake):
     monthly = an.frost_rate_by(lake["silver"].filter(F.col("year") == 2000), "month")
     text = plan(monthly)
@@ -82,13 +87,23 @@ def test_station_filter_passes_the_windows(lake):
     assert "EqualTo(id,S000001)" in plan(one)
 
 
-def test_halo_ranks_before_the_shuffle_and_reads_two_columns(lake):
-    text = plan(with_halo(lake["silver"], 1998, 1998))
-    assert "WindowGroupLimit" in text
-    assert "ReadSchema: struct<id:string,date:date>" in text
+def test_halo_counts_station_years_from_ids_alone(lake):
+    text = plan(needed_years(station_years(lake["silver"]), 1998, 1998))
+    assert "ReadSchema: struct<id:string>" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_rebuilt_years_need_few_shuffles(lake):
+    built = rebuild_gold_years(lake["silver"], 1998, 1998)
+    assert count(built, "Exchange hashpartitioning") <= 8
+
+
+def test_sample_export_does_not_pull_the_query_into_one_task(spark, lake, tmp_path):
+    layers.export_sample(lake["gold"], str(tmp_path / "s"), 0.2, ("id", "date"), 1)
+    written = layers.read_layer(spark, str(tmp_path / "s"))
+    assert len(written.inputFiles()) == 1 and 0 < written.count() < lake["gold"].count() / 3
+
+
 def test_recent_days_use_a_subquery_not_a_join(lake):
     text = plan(an.recent_daily_rain(lake["silver"]))
     assert "ubquery" in text and "Join" not in text
