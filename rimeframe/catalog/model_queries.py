@@ -1,8 +1,9 @@
 """Feature views and fitted models.
 
 Training data is staged once in the shared folder: fits read it many times, and a written
-table survives lost executors.  The single-model queries use the full model settings; queries that
-fit many models use fewer or shallower trees (``LIGHT``), on all rows all the same.
+table survives lost executors.  All queries use the full model settings.  Those that fit several
+models or a large forest learn from about ``TRAINING_ROWS`` labelled rows (a bound on the fit, by a
+hash of the row); every held-out row is scored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from rimeframe.operators import evaluation as ev
 from rimeframe.operators import modelling as ml
 from rimeframe.storage import fresh_path, stage
 
-LIGHT = {"gbt": {"maxIter": 5, "maxDepth": 4}, "rf": {"numTrees": 20}}
+TRAINING_ROWS = 20_000
 THREADS = 4
 
 WHOLE = ("day_of_year", "month", "frost_days_roll30")
@@ -37,6 +38,11 @@ def staged_parts(spark, folder):
     return ml.split_by_year(stage(view(spark, folder), "training"), data.TEST_YEAR)
 
 
+def bounded_parts(spark, folder):
+    train, test = staged_parts(spark, folder)
+    return stage(ml.bounded(train, TRAINING_ROWS), "bounded"), test
+
+
 def predictions(model, test):
     return ev.frost_probability(model.transform(test)).select("year", fv.LABEL, "prediction", "p1")
 
@@ -98,9 +104,12 @@ _SCALED = ("day_of_year", "month", "gdd_corn_day")
 
 @query("m4_standard_scaler", oracle(
     f"select {columns('id date')}, " + ", ".join(
-        r6(f"{f} / (select stddev_samp({f}) from scaled)", f"{f}_scaled") for f in _SCALED
-    ) + " from scaled", "gold").replace(
-        "\nselect", ", scaled as (select * from gold where gdd_corn_day is not null)\nselect", 1))
+        r6(f"{f} / {f}_spread", f"{f}_scaled") for f in _SCALED
+    ) + " from scaled cross join spreads", "gold").replace(
+        "\nselect", ", scaled as materialized (select id, date, " + ", ".join(_SCALED)
+        + " from gold where gdd_corn_day is not null), spreads as materialized (select "
+        + ", ".join(f"stddev_samp({f}) as {f}_spread" for f in _SCALED)
+        + " from scaled)\nselect", 1))
 def m4(spark, folder):
     """Division by the standard deviation, without centring."""
     days = data.gold_days(spark, folder).filter(F.col("gdd_corn_day").isNotNull())
@@ -165,15 +174,25 @@ def m7(spark, folder):
     return predictions(ml.frost_pipeline("lr").fit(train), test)
 
 
-@query("m8_stage_composition")
+_CHAINS = {
+    "gbt": ("ImputerModel", "VectorAssembler", "GBTClassificationModel"),
+    "rf": ("ImputerModel", "VectorAssembler", "RandomForestClassificationModel"),
+    "lr": ("ImputerModel", "VectorAssembler", "StandardScalerModel", "LogisticRegressionModel"),
+}
+
+
+@query("m8_stage_composition", "select * from (values " + ", ".join(
+    f"('{name}', {at}, '{kind}')"
+    for name, chain in _CHAINS.items() for at, kind in enumerate(chain)
+) + ") s(algorithm, position, stage)")
 def m8(spark, folder):
     """Stages of every algorithm's estimator chain, fitted on the training part."""
-    train, _ = staged_parts(spark, folder)
-    small = {"gbt": {"maxIter": 2}, "rf": {"numTrees": 4}, "lr": {"maxIter": 5}}
+    train, _ = bounded_parts(spark, folder)
+    jobs = {name: partial(ml.frost_pipeline(name).fit, train) for name in _CHAINS}
     rows = [
-        (algorithm, position, type(fitted).__name__)
-        for algorithm, settings in small.items()
-        for position, fitted in enumerate(ml.frost_pipeline(algorithm, **settings).fit(train).stages)
+        (name, position, type(fitted).__name__)
+        for name, model in ml.side_by_side(spark, jobs, THREADS).items()
+        for position, fitted in enumerate(model.stages)
     ]
     return spark.createDataFrame(rows, "algorithm STRING, position INT, stage STRING")
 
@@ -213,27 +232,29 @@ def m11(spark, folder):
 
 @query("m12_feature_importances")
 def m12(spark, folder):
-    train, _ = staged_parts(spark, folder)
-    return ml.top_features(spark, ml.frost_pipeline("rf", **LIGHT["rf"]).fit(train))
+    train, _ = bounded_parts(spark, folder)
+    return ml.top_features(spark, ml.frost_pipeline("rf").fit(train))
 
 
 @query("m13_model_comparison")
 def m13(spark, folder):
-    train, test = staged_parts(spark, folder)
-    return ml.metrics_table(spark, ml.compare(train, test, settings=LIGHT, parallelism=THREADS))
+    train, test = bounded_parts(spark, folder)
+    return ml.metrics_table(spark, ml.compare(train, test, parallelism=THREADS))
 
 
 @query("m14_ablation_without_rain")
 def m14(spark, folder):
-    train, test = staged_parts(spark, folder)
-    return ml.metrics_table(spark, ml.ablation(train, test, parallelism=THREADS, **LIGHT["gbt"]))
+    train, test = bounded_parts(spark, folder)
+    return ml.metrics_table(spark, ml.ablation(train, test, parallelism=THREADS))
 
 
 @query("m15_horizon_skill")
 def m15(spark, folder):
     """One boosted model for each of the fifteen horizons."""
-    horizons = stage(ml.horizon_view(data.gold_days(spark, folder)), "horizons")
-    return ml.horizon_skill(horizons, data.TEST_YEAR, parallelism=THREADS, **LIGHT["gbt"])
+    view = stage(ml.horizon_view(data.gold_days(spark, folder)), "horizons")
+    train, test = ml.split_by_year(view, data.TEST_YEAR)
+    known = stage(ml.bounded(train, TRAINING_ROWS).unionByName(test), "horizons")
+    return ml.horizon_skill(known, data.TEST_YEAR, parallelism=THREADS)
 
 
 def _temperatures(spark, folder):
@@ -252,7 +273,8 @@ def m16_linear(spark, folder):
 @query("m16_forest_temperature")
 def m16_forest(spark, folder):
     train, test = _temperatures(spark, folder)
-    scored = ml.temperature_pipeline("forest", **LIGHT["rf"]).fit(train).transform(test)
+    train = stage(ml.bounded(train, TRAINING_ROWS), "bounded")
+    scored = ml.temperature_pipeline("forest").fit(train).transform(test)
     return ev.regression_metrics(scored, "next_day_tmin_c", "prediction")
 
 

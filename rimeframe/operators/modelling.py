@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
+from rimeframe.functions.sampling import hash_sampled
 from rimeframe.operators import evaluation as ev
 from rimeframe.operators import gold as g
 
@@ -54,6 +55,14 @@ def split_by_year(view: DataFrame, test_year: int) -> tuple[DataFrame, DataFrame
     return view.filter(F.col("year") < test_year), view.filter(F.col("year") == test_year)
 
 
+def bounded(train: DataFrame, most: int) -> DataFrame:
+    """About ``most`` training rows, chosen by a hash of their content; all of them if fewer."""
+    count = train.count()
+    if count <= most:
+        return train
+    return train.filter(hash_sampled([F.col(c) for c in train.columns], most / count, fv.SEED))
+
+
 def imputed(features: Iterable[str]) -> list[str]:
     return [f"{name}__imp" for name in features]
 
