@@ -28,6 +28,9 @@ CHARS_AT_ONCE = 1 << 21
 
 WHITE = re.compile(r"\s \s")
 SPACE = re.compile(r"\s")
+#: A text of ASCII without any of these has single spaces and single line ends only.
+NOT_SIMPLE = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+LINE = re.compile(r"^\n|\s\n|\n\s|\n\Z")
 
 
 @lru_cache(maxsize=2)
@@ -48,6 +51,7 @@ class Encoder:
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.drops_space = not self._direct([" "])[0]
+        self.newline = self._direct(["\n"])[0]
         self._forget()
 
     def _forget(self) -> None:
@@ -78,38 +82,63 @@ class Encoder:
             out += [ids[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
+    def _in_lines(self, pieces: list[str], space: str) -> list[bytes]:
+        """Ids of pieces without white space: many are encoded as the lines of one text.
+
+        A line end between other characters is a token of its own, so it shows where pieces end.
+        """
+        runs = [pieces[i : i + PIECES_AT_ONCE] for i in range(0, len(pieces), PIECES_AT_ONCE)]
+        encoded = self.tokenizer.encode_batch_fast(
+            ["\n".join(space + x for x in run) for run in runs], add_special_tokens=False)
+        mark, out = int.from_bytes(self.newline, "little"), []
+        for found in encoded:
+            ids = array(self.code, found.ids)
+            cuts = np.flatnonzero(np.frombuffer(ids, self.code) == mark) * self.width
+            begins, ends = [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(ids) * self.width]
+            ids = ids.tobytes()
+            out += [ids[x:y] for x, y in zip(begins, ends, strict=True)]
+        return out
+
     def _learn(self, memo: dict[str, bytes], new: set[str], space: str) -> None:
-        plain = [x for x in new if x and not SPACE.search(x)] if memo is self.rest else []
+        plain = [x for x in new if x and not SPACE.search(x)]
         other = list(new.difference(plain))
-        memo.update(zip(plain, self._in_runs(plain), strict=True))
+        found = self._in_runs(plain) if self.drops_space else self._in_lines(plain, space)
+        memo.update(zip(plain, found, strict=True))
         memo.update(zip(other, self._direct([space + x for x in other]), strict=True))
         self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self.held > MEMO_BYTES:
             self._forget()
-        alone = [not self.drops_space and WHITE.search(x) is not None for x in texts]
-        cut = [None if x else self._cut(t) for t, x in zip(texts, alone, strict=True)]
-        known = [x for x in cut if x is not None]
         if self.drops_space:
-            self._learn(self.rest, set().union(*known) - self.rest.keys(), "")
-        else:
-            firsts = {x[0] for x in known}
-            self._learn(self.first, firsts - self.first.keys(), "")
-            rest = set().union(*[x[1:] for x in known])
-            self._learn(self.rest, rest - self.rest.keys(), " ")
-        get, out = self.rest.__getitem__, []
-        for text, pieces in zip(texts, cut, strict=True):
-            if pieces is None:
-                out += self._direct([text])
-            elif self.drops_space:
-                out.append(b"".join(map(get, pieces)))
-            else:
-                out.append(self.first[pieces[0]] + b"".join(map(get, pieces[1:])))
-        return out
-
-    def _cut(self, text: str) -> list[str]:
-        return (text.replace("\n", " ") if self.drops_space else text).split(" ")
+            cut = [x.replace("\n", " ").split(" ") for x in texts]
+            self._learn(self.rest, set().union(*cut) - self.rest.keys(), "")
+            get = self.rest.__getitem__
+            return [b"".join(map(get, pieces)) for pieces in cut]
+        lines = [self._lines(x) for x in texts]
+        known = [line for own in lines for line in own]
+        self._learn(self.first, {x[0] for x in known} - self.first.keys(), "")
+        rest = set().union(*[x[1:] for x in known]) - self.rest.keys()
+        self._learn(self.rest, rest, " ")
+        first, get = self.first.__getitem__, self.rest.__getitem__
+        return [
+            self.newline.join([
+                b"".join([first(line[0]), *map(get, line[1:])]) for line in own
+            ]) if own else self._direct([text])[0]
+            for text, own in zip(texts, lines, strict=True)
+        ]
+
+    def _lines(self, text: str) -> list[list[str]]:
+        """Pieces by line; nothing if the text must be encoded as it is.
+
+        Line ends next to other white space stay inside pieces.
+        """
+        if text.isascii() and not any(x in text for x in NOT_SIMPLE):
+            simple = text[:1] != "\n" and text[-1:] != "\n"
+            return [x.split(" ") for x in (text.split("\n") if simple else [text])]
+        if WHITE.search(text):
+            return []
+        return [x.split(" ") for x in ([text] if LINE.search(text) else text.split("\n"))]
 
     def stream(self, texts: list[str | None]):
         """Ids with the end id, text by text; a null text is empty."""
