@@ -25,47 +25,99 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PASSAGE = 16
 STRIDE = 8
-QUERY_STRIDE = 3
+QUERY_STRIDE = 4
 FEATURES = 1 << 14
-RANK = 64
+RANK = 48
 OVERSAMPLE = 8
 SEED = 11
-LEAST_COSINE = 0.6
+LEAST_COSINE = 0.62
 #: Words that a passage and a window must share, as a part of the window's.
-LEAST_COMMON = 0.4
+LEAST_COMMON = 0.5
 LEAST_SHARE = 0.7
 LEAST_ANSWER = 0.5
 LEAST_ITEM_WORDS = 4
 ITEMS_AT_ONCE = 2048
-WORDS_AT_ONCE = 1 << 17
-ROWS_AT_ONCE = 4096
+BYTES_AT_ONCE = 900_000
+ROWS_AT_ONCE = 2048
 BLOCKS = 64
-MEMO_WORDS = 1 << 18
 
 OUTER = b".,;:!?\"'()[]{}<>*#$%&|-_~`"
 
 
 def normal(word: bytes) -> bytes:
-    return word.strip(OUTER)
-
-
-class _Features(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh64_intdigest(normal(word)) % FEATURES
-        return found
-
-
-def _words(memo: _Features, text: str | None) -> tuple[list[bytes], np.ndarray]:
-    words = (text or "").lower().encode().split()
-    if len(memo) > MEMO_WORDS:
-        memo.clear()
-    return words, np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+    return word.translate(None, OUTER)
+
+
+#: What each byte is: 0 white space, 1 punctuation that words are compared without, 2 other.
+BYTE_KIND = np.full(256, 2, dtype=np.uint8)
+BYTE_KIND[list(OUTER)] = 1
+BYTE_KIND[[9, 10, 11, 12, 13, 32]] = 0
+ODD = np.uint64(0x9E3779B97F4A7C15)
+LONGEST_RUN = 1 << 20
+POWERS = np.cumprod(np.full(LONGEST_RUN, ODD, dtype=np.uint64))
+INVERSES = np.cumprod(np.full(LONGEST_RUN, pow(int(ODD), -1, 1 << 64), dtype=np.uint64))
+
+
+def folded(text: str | None) -> bytes:
+    return (text or "").lower().encode()
+
+
+def features_of(texts: list[bytes]) -> list[np.ndarray]:
+    """The hashed feature of every word of every text: a polynomial of its bytes.
+
+    Texts are hashed side by side; a long one is taken in runs that end at a space.
+    """
+    out, some, size = [], [], 0
+    for text in texts:
+        if len(text) >= LONGEST_RUN // 2:
+            out += _features(some) if some else []
+            some, size = [], 0
+            parts = []
+            while len(text) >= LONGEST_RUN // 2:
+                cut = max(text.rfind(c, 0, LONGEST_RUN // 2) for c in (b" ", b"\n", b"\t"))
+                cut = cut if cut > 0 else LONGEST_RUN // 2
+                parts.append(_features([text[:cut]])[0])
+                text = text[cut:]
+            out.append(np.concatenate([*parts, _features([text])[0]]))
+            continue
+        if size + len(text) + 1 > LONGEST_RUN:
+            out += _features(some)
+            some, size = [], 0
+        some.append(text)
+        size += len(text) + 1
+    return out + (_features(some) if some else [])
+
+
+def _features(texts: list[bytes]) -> list[np.ndarray]:
+    data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    kind = BYTE_KIND[data]
+    space = kind == 0
+    starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    if not space[0]:
+        starts = np.concatenate(([0], starts))
+    ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    counted = kind == 2
+    sums = np.cumsum(np.where(counted, data, 0) * POWERS[: len(data)])
+    sums = np.concatenate((np.zeros(1, np.uint64), sums))
+    first = starts
+    odd = np.flatnonzero(~counted[starts])
+    if len(odd):  # words that begin with punctuation count from their first other byte
+        first = starts.copy()
+        at = np.flatnonzero(counted)
+        after = np.searchsorted(at, starts[odd])
+        first[odd] = np.minimum(at[np.minimum(after, max(0, len(at) - 1))], ends[odd]) if len(at) else (
+            starts[odd])
+    value = (sums[ends] - sums[starts]) * INVERSES[np.minimum(first, len(data) - 1)]
+    value = (value ^ (value >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    found = ((value >> np.uint64(40)) % np.uint64(FEATURES)).astype(np.int64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    edges = np.searchsorted(starts, np.cumsum(sizes)[:-1])
+    return np.split(found, edges)
 
 
 def test_matrix() -> np.ndarray:
@@ -74,12 +126,13 @@ def test_matrix() -> np.ndarray:
 
 def _gathered(batches):
     """Passages' counts of features: those of a passage in one piece of a text, without overlap."""
-    memo, omega = _Features(), test_matrix()
+    omega = test_matrix()
     total = np.zeros((FEATURES, RANK + OVERSAMPLE + 1), dtype=np.float64)
-    passages, held, size = 0, [], 0
+    passages, waiting, size = 0, [], 0
 
     def add():
         nonlocal passages
+        held = features_of(waiting)
         where, base = [], 0
         for f in held:
             where.append(base + np.arange(len(f)) // PASSAGE)
@@ -99,12 +152,12 @@ def _gathered(batches):
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            held.append(_words(memo, text)[1])
-            size += len(held[-1])
-            if size >= WORDS_AT_ONCE:
+            waiting.append(folded(text))
+            size += len(waiting[-1])
+            if size >= BYTES_AT_ONCE:
                 add()
-                held, size = [], 0
-    if held:
+                waiting, size = [], 0
+    if waiting:
         add()
     if passages:
         blocks = np.split(total.astype(np.float32), BLOCKS)
@@ -164,7 +217,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 class Item:
     def __init__(self, item_id: int, text: str):
-        raw = text.lower().encode().split()
+        raw = folded(text).split()
         self.item_id = item_id
         words = [normal(w) for w in raw]
         asked = [i for i, w in enumerate(raw[:-1]) if w.endswith(b"?")]
@@ -198,13 +251,12 @@ class Searcher:
 
     def __init__(self, items: list[tuple[int, str]], space: np.ndarray):
         self.space = np.concatenate((space, np.zeros((1, space.shape[1]), np.float32)))
-        self.memo = _Features()
         self.items, windows, self.owner = [], [], []
         for item_id, text in items:
-            words, features = _words(self.memo, text)
-            if len(words) < LEAST_ITEM_WORDS:
+            features = features_of([folded(text)])[0]
+            if len(features) < LEAST_ITEM_WORDS:
                 continue
-            last = max(0, len(words) - PASSAGE)
+            last = max(0, len(features) - PASSAGE)
             for start in sorted({*range(0, last + 1, QUERY_STRIDE), last}):
                 window = np.full(PASSAGE, -1, dtype=np.int64)
                 part = features[start : start + PASSAGE]
@@ -215,6 +267,8 @@ class Searcher:
         self.owner = np.array(self.owner, dtype=np.int64)
         self.windows = np.array(windows, dtype=np.int64).reshape(-1, PASSAGE)
         self.sizes = (self.windows >= 0).sum(axis=1)
+        self.valid = (self.windows >= 0).astype(np.uint64)
+        self.shifts = (self.windows & 63).astype(np.uint64)
         at = np.where(self.windows < 0, FEATURES, self.windows)
         self.queries = np.ascontiguousarray(_unit(self.space[at].sum(axis=1)).T)
 
@@ -229,12 +283,18 @@ class Searcher:
         doc = np.repeat(np.arange(len(features)), counts)
         first = np.flatnonzero(doc[:-1] == doc[1:])
         rows, found = flat.reshape(-1, STRIDE), []
+        marks = np.bitwise_or.reduce(np.uint64(1) << (rows & 63).astype(np.uint64), axis=1)
         for lo in range(0, len(first), ROWS_AT_ONCE):
             some = first[lo : lo + ROWS_AT_ONCE]
             likeness = _unit(pieces[some] + pieces[some + 1]) @ self.queries
-            p, q = np.nonzero(likeness >= LEAST_COSINE)
+            p, q = np.divmod(
+                np.flatnonzero((likeness >= LEAST_COSINE).ravel()), likeness.shape[1])
             for cut in range(0, len(p), ROWS_AT_ONCE):
                 pp, qq = p[cut : cut + ROWS_AT_ONCE], q[cut : cut + ROWS_AT_ONCE]
+                bits = (marks[some[pp]] | marks[some[pp] + 1])[:, None] >> self.shifts[qq]
+                most = (bits & self.valid[qq]).sum(axis=1)  # no less than the words in common
+                ok = most >= LEAST_COMMON * self.sizes[qq]
+                pp, qq = pp[ok], qq[ok]
                 here = np.concatenate((rows[some[pp]], rows[some[pp] + 1]), axis=1)
                 both = (self.windows[qq][:, :, None] == here[:, None, :]).any(axis=2).sum(axis=1)
                 ok = both >= LEAST_COMMON * self.sizes[qq]
@@ -248,22 +308,25 @@ class Searcher:
         every = np.concatenate(found)
         return every[np.lexsort((every[:, 2], every[:, 1], every[:, 0]))]
 
-    def leaks(self, words: list[list[bytes]], features: list[np.ndarray]):
+    def leaks(self, texts: list[bytes]):
         """(document, item, begin, end, cosine, share, answer share): the best place of each pair."""
-        every = self.candidates(features)
+        every = self.candidates(features_of(texts))
         if len(every) == 0:
             return
+        held, words = -1, []
         pairs = np.flatnonzero((np.diff(every[:, :2], axis=0, prepend=-1) != 0).any(axis=1))
         for a, b in zip(pairs.tolist(), [*pairs[1:].tolist(), len(every)], strict=True):
             doc, item = int(every[a, 0]), self.items[int(every[a, 1])]
+            if doc != held:
+                held, words = doc, texts[doc].split()
             reach, best, done = len(item.words), None, -1
             for place, cosine in every[a:b, 2:]:
                 begin = max(0, int(place) - reach)
-                end = min(len(words[doc]), int(place) + PASSAGE + reach)
+                end = min(len(words), int(place) + PASSAGE + reach)
                 if int(place) + PASSAGE <= done:
                     continue
                 done = end - reach // 2
-                text = [normal(w) for w in words[doc][begin:end]]
+                text = [normal(w) for w in words[begin:end]]
                 share = common_length(item.all, len(item.words), text) / len(item.words)
                 if share < LEAST_SHARE:
                     continue
@@ -289,27 +352,25 @@ def _search(docs: DataFrame, items: list[tuple[int, str]], space: np.ndarray) ->
     def run(batches):
         searcher = Searcher(*shared.value)
 
-        def finish(ids, words, features):
-            rows = [(ids[d], *rest) for d, *rest in searcher.leaks(words, features)]
+        def finish(ids, texts):
+            rows = [(ids[d], *rest) for d, *rest in searcher.leaks(texts)]
             columns = list(zip(*rows, strict=True)) or [()] * len(HIT_ARROW)
             arrays = [pa.array(c, t) for c, t in zip(columns, HIT_ARROW.types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, schema=HIT_ARROW)
 
         for batch in batches:
-            ids, words, features, held = [], [], [], 0
+            ids, texts, held = [], [], 0
             for doc_id, text in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
             ):
-                own = _words(searcher.memo, text)
                 ids.append(doc_id)
-                words.append(own[0])
-                features.append(own[1])
-                held += len(own[0]) + STRIDE
-                if held >= WORDS_AT_ONCE:
-                    yield finish(ids, words, features)
-                    ids, words, features, held = [], [], [], 0
+                texts.append(folded(text))
+                held += len(texts[-1])
+                if held >= BYTES_AT_ONCE:
+                    yield finish(ids, texts)
+                    ids, texts, held = [], [], 0
             if ids:
-                yield finish(ids, words, features)
+                yield finish(ids, texts)
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string"))
     return rows.mapInArrow(run, HIT_SCHEMA)
