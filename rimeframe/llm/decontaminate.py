@@ -257,9 +257,13 @@ class Searcher:
             if len(features) < LEAST_ITEM_WORDS:
                 continue
             last = max(0, len(features) - PASSAGE)
-            for start in sorted({*range(0, last + 1, QUERY_STRIDE), last}):
+            parts = [features[start : start + PASSAGE]
+                     for start in sorted({*range(0, last + 1, QUERY_STRIDE), last})]
+            if PASSAGE - STRIDE // 2 < len(features) < PASSAGE + STRIDE:
+                # no passage need lie inside such an item: its ends are looked for as well
+                parts += [features[: PASSAGE - STRIDE // 2], features[STRIDE // 2 - PASSAGE :]]
+            for part in parts:
                 window = np.full(PASSAGE, -1, dtype=np.int64)
-                part = features[start : start + PASSAGE]
                 window[: len(part)] = part
                 windows.append(window)
                 self.owner.append(len(self.items))
