@@ -24,7 +24,7 @@ from rimeframe.operators import evaluation as ev  # noqa: E402
 from rimeframe.operators import gold as gd  # noqa: E402
 from rimeframe.operators import modelling as ml  # noqa: E402
 from rimeframe.operators import silver as sv  # noqa: E402
-from rimeframe.functions.sampling import hash_sampled  # noqa: E402
+from rimeframe.plans.training import train_frost_model  # noqa: E402
 from rimeframe.session import builder  # noqa: E402
 from rimeframe.sources import layers, readings  # noqa: E402
 from rimeframe.storage import fresh_path  # noqa: E402
@@ -60,10 +60,9 @@ def main() -> None:
         return ml.labelled(table("gold")).filter(F.col("year") == data.TEST_YEAR)
 
     def train(algorithm):
-        rows = ml.labelled(table("gold"))
-        part = rows.filter(hash_sampled([F.col("id"), F.col("date")], 0.1, 42))
-        past = part.filter(F.col("year") < data.TEST_YEAR)
-        run(ml.frost_pipeline(algorithm).fit(past).transform(held_out()).select("prediction"))
+        paths = f"{lake}/{algorithm}_model", f"{lake}/{algorithm}_metrics"
+        train_frost_model(
+            spark, table("gold"), *paths, data.TEST_YEAR, algorithm, sample_fraction=0.1)
 
     steps = {
         "build_bronze": lambda: layers.write_years(
