@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 END_OF_TEXT = 1
 #: Bytes of pieces and ids that the memo of a task may hold.
-MEMO_BYTES = 192 << 20
+MEMO_BYTES = 256 << 20
 ENTRY_BYTES = 160
 PIECES_AT_ONCE = 512
 #: Characters of text whose new pieces are encoded together.
@@ -154,11 +154,11 @@ class Encoder:
 
 def sketch(ids: np.ndarray) -> int:
     """The smallest hash of two neighbouring ids: near copies mostly have the same."""
-    pairs = ids.astype(np.uint64)
-    if len(pairs) > 1:
-        pairs = (pairs[:-1] << np.uint64(32)) | pairs[1:]
-    pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return int((pairs ^ (pairs >> np.uint64(32))).min() >> np.uint64(1))
+    mixed = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
+    if len(mixed) > 1:
+        mixed = mixed[:-1] ^ (mixed[1:] * np.uint32(0x85EBCA6B))
+    mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    return int((mixed ^ (mixed >> np.uint32(13))).min())
 
 
 def token_ids(docs: DataFrame, path: str, with_sketch: bool = False) -> DataFrame:
