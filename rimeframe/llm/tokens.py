@@ -3,7 +3,7 @@
 Both supported kinds of tokenizer treat the pieces between single spaces alone: one drops white
 space, the other gives a space to the piece behind it.  So each distinct piece is encoded once per
 task and ids are joined.  A text in which that does not hold (three white-space characters around a
-space) is encoded as it is.  Strings of special tokens are ordinary text.
+space, or the string of an added token) is encoded as it is.
 """
 
 from __future__ import annotations
@@ -47,7 +47,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = tuple(x.content for x in added)
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.drops_space = not self._direct([" "])[0]
@@ -111,10 +112,14 @@ class Encoder:
         if self.held > MEMO_BYTES:
             self._forget()
         if self.drops_space:
-            cut = [x.replace("\n", " ").split(" ") for x in texts]
-            self._learn(self.rest, set().union(*cut) - self.rest.keys(), "")
+            cut = [None if self._has_added(x) else x.replace("\n", " ").split(" ") for x in texts]
+            known = [pieces for pieces in cut if pieces is not None]
+            self._learn(self.rest, set().union(*known) - self.rest.keys(), "")
             get = self.rest.__getitem__
-            return [b"".join(map(get, pieces)) for pieces in cut]
+            return [
+                self._direct([text])[0] if pieces is None else b"".join(map(get, pieces))
+                for text, pieces in zip(texts, cut, strict=True)
+            ]
         lines = [self._lines(x) for x in texts]
         known = [line for own in lines for line in own]
         self._learn(self.first, {x[0] for x in known} - self.first.keys(), "")
@@ -128,11 +133,16 @@ class Encoder:
             for text, own in zip(texts, lines, strict=True)
         ]
 
+    def _has_added(self, text: str) -> bool:
+        return any(x in text for x in self.added)
+
     def _lines(self, text: str) -> list[list[str]]:
         """Pieces by line; nothing if the text must be encoded as it is.
 
         Line ends next to other white space stay inside pieces.
         """
+        if self._has_added(text):
+            return []
         if text.isascii() and not any(x in text for x in NOT_SIMPLE):
             simple = text[:1] != "\n" and text[-1:] != "\n"
             return [x.split(" ") for x in (text.split("\n") if simple else [text])]

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -126,3 +127,12 @@ def test_scores_equal_brute_force():
                 norm = packing.K1 * (1 - packing.B + packing.B * len(tails[j]) / 25.0)
                 want += idf[t] * tf * (packing.K1 + 1) / (tf + norm)
             assert abs(scored - want) < 1e-9
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_are_those_of_the_file(path):
+    fresh = Tokenizer.from_file(path)
+    texts = ["see <|endoftext|> here", "a<|startoftext|>b\n<|endoftext|>", "<|ENDOFTEXT|> no", "see here"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in encoder(path).stream(texts)]
+    assert got == [[*fresh.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert fresh.token_to_id("<|endoftext|>") in got[0]
