@@ -34,8 +34,10 @@ IDENTIFIER = (
     r"""(?i:access_?key_?id|client_?id|account|user_?name|login)"""
     r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 )
-WEAK_SECRET = "[A-Za-z+/_-]*[0-9][A-Za-z0-9+/_-]{12,}"
 LEAST_WEAK = 20
+WEAK_SECRET = f"[A-Za-z0-9+/_-]{{{LEAST_WEAK},}}"
+#: The pattern of the SQL text: it does not see a token whose first digit is one of its last 12.
+SQL_WEAK_SECRET = "[A-Za-z+/_-]*[0-9][A-Za-z0-9+/_-]{12,}"
 ENDPOINT = (
     r"""https?://[A-Za-z0-9.-]+(?::[0-9]+)?|[0-9]{1,3}(?:[.][0-9]{1,3}){3}:[0-9]{2,5}|"""
     r"""(?i:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,}"""
@@ -63,8 +65,7 @@ def _marks(text: Column, kind: int, pattern: str) -> Column:
         if kind == 0:
             return F.char_length(x["c2"]) >= LEAST_VALUE
         if kind == 4:
-            mixed = x["c1"].rlike("[A-Z]") & x["c1"].rlike("[a-z]")
-            return (F.char_length(x["c1"]) >= LEAST_WEAK) & mixed
+            return x["c1"].rlike("[0-9]") & x["c1"].rlike("[A-Z]") & x["c1"].rlike("[a-z]")
         return F.lit(True)
 
     marks = F.transform(
@@ -205,11 +206,12 @@ SQL_MARK = """
 
 
 def sql() -> str:
-    """The same in SQL, for DuckDB."""
+    """The same in SQL, for DuckDB, but for mixed tokens with a late digit (``SQL_WEAK_SECRET``)."""
     goods = {0: f"length(vals[nth]) >= {LEAST_VALUE}", 4: f"length(found[nth]) >= {LEAST_WEAK} and "
              "regexp_matches(found[nth], '[A-Z]') and regexp_matches(found[nth], '[a-z]')"}
     parts = []
-    for kind, pattern in enumerate((*PATTERNS, BREAK)):
+    patterns = [SQL_WEAK_SECRET if p == WEAK_SECRET else p for p in PATTERNS]
+    for kind, pattern in enumerate((*patterns, BREAK)):
         quoted = pattern.replace("'", "''")
         parts.append(SQL_MARK.format(
             kind=kind, pattern=quoted, good=goods.get(kind, "true"),
