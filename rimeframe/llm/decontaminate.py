@@ -6,7 +6,9 @@
    values (a randomised SVD of the whole corpus).
 2. Overlapping passages of every whole text are projected (singular values divided out, so frequent
    words don't drown the others) and compared by cosine with the windows of all benchmark items, as
-   blocks of a matrix product.  Pairs from ``LEAST_COSINE`` on that share enough words are candidates.
+   blocks of a matrix product.  Items of less than 16 words are compared with passages of 8 or 4
+   words.  Pairs from ``LEAST_COSINE`` on (less for windows shorter than the passage) that share
+   enough words are candidates.
 3. A candidate is a leak if the longest common subsequence of the item and the text around the
    passage is ``LEAST_SHARE`` of the item, and that of the item's answer (what follows the last
    question mark, else its last quarter) is ``LEAST_ANSWER`` of the answer.
@@ -22,6 +24,7 @@ gives no rows; other columns are kept by ``remove_leaks``.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +38,18 @@ FEATURES = 1 << 14
 RANK = 48
 OVERSAMPLE = 8
 SEED = 11
-LEAST_COSINE = 0.62
+LEAST_COSINE = 0.5
 #: Words that a passage and a window must share, as a part of the window's.
 LEAST_COMMON = 0.5
 LEAST_SHARE = 0.7
 LEAST_ANSWER = 0.5
 LEAST_ITEM_WORDS = 4
+#: Lengths and strides of passages, stride of windows, and the words of an item from which they hold.
+LENGTHS = (
+    (PASSAGE, STRIDE, QUERY_STRIDE, PASSAGE),
+    (8, 2, 1, 8),
+    (4, 1, 1, LEAST_ITEM_WORDS),
+)
 ITEMS_AT_ONCE = 2048
 BYTES_AT_ONCE = 900_000
 ROWS_AT_ONCE = 2048
@@ -246,67 +255,86 @@ def common_length(bits: dict[bytes, int], size: int, words: list[bytes]) -> int:
     return size - row.bit_count()
 
 
-class Searcher:
-    """One slice of the benchmark, ready to be compared with documents."""
+class Windows:
+    """Windows of items, to be compared with passages of one length."""
 
-    def __init__(self, items: list[tuple[int, str]], space: np.ndarray):
-        self.space = np.concatenate((space, np.zeros((1, space.shape[1]), np.float32)))
-        self.items, windows, self.owner = [], [], []
-        for item_id, text in items:
-            features = features_of([folded(text)])[0]
-            if len(features) < LEAST_ITEM_WORDS:
-                continue
-            last = max(0, len(features) - PASSAGE)
-            parts = [features[start : start + PASSAGE]
-                     for start in sorted({*range(0, last + 1, QUERY_STRIDE), last})]
-            if PASSAGE - STRIDE // 2 < len(features) < PASSAGE + STRIDE:
-                # no passage need lie inside such an item: its ends are looked for as well
-                parts += [features[: PASSAGE - STRIDE // 2], features[STRIDE // 2 - PASSAGE :]]
-            for part in parts:
-                window = np.full(PASSAGE, -1, dtype=np.int64)
-                window[: len(part)] = part
-                windows.append(window)
-                self.owner.append(len(self.items))
-            self.items.append(Item(item_id, text))
-        self.owner = np.array(self.owner, dtype=np.int64)
-        self.windows = np.array(windows, dtype=np.int64).reshape(-1, PASSAGE)
+    def __init__(self, length: int, stride: int, parts: list[np.ndarray], owner: list[int], space):
+        self.length, self.stride, self.space = length, stride, space
+        self.owner = np.array(owner, dtype=np.int64)
+        self.windows = np.full((len(parts), length), -1, dtype=np.int64)
+        for window, part in zip(self.windows, parts, strict=True):
+            window[: len(part)] = part
         self.sizes = (self.windows >= 0).sum(axis=1)
         self.valid = (self.windows >= 0).astype(np.uint64)
         self.shifts = (self.windows & 63).astype(np.uint64)
+        # k words among others have a cosine of about sqrt(k / length) with the k words alone
+        self.limits = (LEAST_COSINE * np.sqrt(self.sizes / length)).astype(np.float32)
         at = np.where(self.windows < 0, FEATURES, self.windows)
         self.queries = np.ascontiguousarray(_unit(self.space[at].sum(axis=1)).T)
 
     def candidates(self, features: list[np.ndarray]):
-        """(document, item, begin of the passage, cosine), by document and item."""
-        counts = [max(2, -(-len(f) // STRIDE)) for f in features]
-        flat = np.full(sum(counts) * STRIDE, FEATURES, dtype=np.int64)
-        base = (np.cumsum(counts) - counts) * STRIDE
+        """Arrays of (document, item, begin of the passage, cosine)."""
+        stride, n = self.stride, self.length // self.stride
+        counts = [max(n, -(-len(f) // stride)) for f in features]
+        flat = np.full(sum(counts) * stride, FEATURES, dtype=np.int64)
+        base = (np.cumsum(counts) - counts) * stride
         for b, f in zip(base.tolist(), features, strict=True):
             flat[b : b + len(f)] = f
-        pieces = self.space[flat].reshape(-1, STRIDE, self.space.shape[1]).sum(axis=1)
-        doc = np.repeat(np.arange(len(features)), counts)
-        first = np.flatnonzero(doc[:-1] == doc[1:])
-        rows, found = flat.reshape(-1, STRIDE), []
+        rows = flat.reshape(-1, stride)
+        pieces = self.space[flat].reshape(-1, stride, self.space.shape[1]).sum(axis=1)
         marks = np.bitwise_or.reduce(np.uint64(1) << (rows & 63).astype(np.uint64), axis=1)
+        doc = np.repeat(np.arange(len(features)), counts)
+        first, found = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :]), []
         for lo in range(0, len(first), ROWS_AT_ONCE):
             some = first[lo : lo + ROWS_AT_ONCE]
-            likeness = _unit(pieces[some] + pieces[some + 1]) @ self.queries
-            p, q = np.divmod(
-                np.flatnonzero((likeness >= LEAST_COSINE).ravel()), likeness.shape[1])
+            passages, held = pieces[some], marks[some]
+            for k in range(1, n):
+                passages, held = passages + pieces[some + k], held | marks[some + k]
+            likeness = _unit(passages) @ self.queries
+            p, q = np.divmod(np.flatnonzero((likeness >= self.limits).ravel()), likeness.shape[1])
             for cut in range(0, len(p), ROWS_AT_ONCE):
                 pp, qq = p[cut : cut + ROWS_AT_ONCE], q[cut : cut + ROWS_AT_ONCE]
-                bits = (marks[some[pp]] | marks[some[pp] + 1])[:, None] >> self.shifts[qq]
+                bits = held[pp][:, None] >> self.shifts[qq]
                 most = (bits & self.valid[qq]).sum(axis=1)  # no less than the words in common
                 ok = most >= LEAST_COMMON * self.sizes[qq]
                 pp, qq = pp[ok], qq[ok]
-                here = np.concatenate((rows[some[pp]], rows[some[pp] + 1]), axis=1)
+                here = rows[some[pp][:, None] + np.arange(n)].reshape(len(pp), self.length)
                 both = (self.windows[qq][:, :, None] == here[:, None, :]).any(axis=2).sum(axis=1)
                 ok = both >= LEAST_COMMON * self.sizes[qq]
                 pp, qq = pp[ok], qq[ok]
                 at = some[pp]
-                found.append(np.stack((
-                    doc[at], self.owner[qq], at * STRIDE - base[doc[at]]), axis=1))
-                found[-1] = np.column_stack((found[-1], likeness[pp, qq]))
+                found.append(np.column_stack((
+                    doc[at], self.owner[qq], at * stride - base[doc[at]], likeness[pp, qq])))
+        return found
+
+
+class Searcher:
+    """One slice of the benchmark, ready to be compared with documents."""
+
+    def __init__(self, items: list[tuple[int, str]], space: np.ndarray):
+        space = np.concatenate((space, np.zeros((1, space.shape[1]), np.float32)))
+        self.items = []
+        parts = {length: ([], []) for length, *_ in LENGTHS}
+        for item_id, text in items:
+            features = features_of([folded(text)])[0]
+            if len(features) < LEAST_ITEM_WORDS:
+                continue
+            length, step = next((n, s) for n, _, s, least in LENGTHS if len(features) >= least)
+            last = max(0, len(features) - length)
+            own = [features[start : start + length]
+                   for start in sorted({*range(0, last + 1, step), last})]
+            if PASSAGE <= len(features) < PASSAGE + STRIDE:
+                # no passage need lie inside such an item: its ends are looked for as well
+                own += [features[: PASSAGE - STRIDE // 2], features[STRIDE // 2 - PASSAGE :]]
+            parts[length][0].extend(own)
+            parts[length][1].extend([len(self.items)] * len(own))
+            self.items.append(Item(item_id, text))
+        self.lengths = [
+            Windows(n, stride, *parts[n], space) for n, stride, *_ in LENGTHS if parts[n][0]]
+
+    def candidates(self, features: list[np.ndarray]):
+        """(document, item, begin of the passage, cosine), by document and item."""
+        found = [x for windows in self.lengths for x in windows.candidates(features)]
         if not found:
             return np.empty((0, 4))
         every = np.concatenate(found)
@@ -323,20 +351,25 @@ class Searcher:
             doc, item = int(every[a, 0]), self.items[int(every[a, 1])]
             if doc != held:
                 held, words = doc, texts[doc].split()
-            reach, best, done = len(item.words), None, -1
+            reach, best, from_place = len(item.words), None, 0
+            least, least_answer = math.ceil(LEAST_SHARE * reach), math.ceil(LEAST_ANSWER * item.n_answer)
             for place, cosine in every[a:b, 2:]:
                 begin = max(0, int(place) - reach)
                 end = min(len(words), int(place) + PASSAGE + reach)
-                if int(place) + PASSAGE <= done:
+                if place < from_place:
                     continue
-                done = end - reach // 2
                 text = [normal(w) for w in words[begin:end]]
-                share = common_length(item.all, len(item.words), text) / len(item.words)
-                if share < LEAST_SHARE:
+                common = common_length(item.all, reach, text)
+                if common < least:  # a place n words on has at most n more in common
+                    from_place = place + least - common
+                    continue
+                answer = common_length(item.answer, item.n_answer, text)
+                if answer < least_answer:
+                    from_place = place + least_answer - answer
                     continue
-                answer = common_length(item.answer, item.n_answer, text) / item.n_answer
-                if answer >= LEAST_ANSWER and (best is None or share > best[3]):
-                    best = (begin, end, float(cosine), share, answer)
+                from_place = place + reach // 2 + 1
+                if best is None or common / reach > best[3]:
+                    best = (begin, end, float(cosine), common / reach, answer / item.n_answer)
             if best is not None:
                 yield doc, item.item_id, *best
 

@@ -310,3 +310,32 @@ def test_leaks(spark):
     assert left.count() == docs.count() - len({i for i, _ in want})
     assert decontaminate.find_leaks(docs, bench.filter("1 = 0")).count() == 0
     assert decontaminate.find_leaks(documents(spark, []), bench).count() == 0
+
+
+@pytest.mark.parametrize("size", [4, 5, 6, 8, 10, 12, 14, 16, 20])
+@pytest.mark.parametrize("replaced, least", [(0, 0.99), (0.3, 0.88)])
+def test_short_items_are_found(spark, size, replaced, least):
+    """Items inside longer texts, against the longest common subsequence by brute force."""
+    rng = random.Random(size)
+    words = [a + b + c + d for a in "bdfgklm" for b in "aeiou" for c in "nrstx" for d in ("", "a", "el")]
+    items, texts = [], []
+    while len(items) < 120:
+        item = prose(rng, words, size).split()
+        copy = list(item)
+        for k in rng.sample(range(size), int(size * replaced)):
+            copy[k] = "other"
+        known = decontaminate.Item(0, " ".join(item))
+        found = [x.encode() for x in copy]
+        shares = (decontaminate.common_length(known.all, size, found) / size,
+                  decontaminate.common_length(known.answer, known.n_answer, found) / known.n_answer)
+        if shares[0] >= decontaminate.LEAST_SHARE and shares[1] >= decontaminate.LEAST_ANSWER:
+            own = prose(rng, words, rng.randint(60, 300)).split()
+            at = rng.randrange(len(own))
+            own[at:at] = copy
+            items.append((len(items), " ".join(item)))
+            texts.append(" ".join(own))
+    docs = documents(spark, texts)
+    space = decontaminate.latent_space(docs)
+    searcher = decontaminate.Searcher(items, space)
+    hits = {(d, i) for d, i, *_ in searcher.leaks([decontaminate.folded(t) for t in texts])}
+    assert sum((i, i) in hits for i in range(len(items))) >= least * len(items)
