@@ -10,7 +10,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from helpers import by_id, documents  # noqa: E402
+from llm_helpers import by_id, documents  # noqa: E402
 
 from rimeframe.llm import secrets, substrings  # noqa: E402
 

@@ -12,7 +12,7 @@ import xxhash
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from helpers import by_id, documents  # noqa: E402
+from llm_helpers import by_id, documents  # noqa: E402
 
 from rimeframe.llm import decontaminate, langid, sampling, simhash, toxicity, warc  # noqa: E402
 from rimeframe.llm.shared import components  # noqa: E402

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from helpers import documents  # noqa: E402
+from llm_helpers import documents  # noqa: E402
 
 from rimeframe.llm import huffman, packing  # noqa: E402
 from rimeframe.llm.tokens import encoder  # noqa: E402
