@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimeframe.llm import decontaminate, huffman, langid, packing, sampling, secrets, simhash, substrings, toxicity, warc
+from rimeframe.llm import (
+    decontaminate, huffman, langid, packing, sampling, secrets, simhash, substrings, token_counts,
+    toxicity, warc,
+)
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
 
@@ -118,3 +121,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op1_latent_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), path)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
