@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe.llm import (
-    decontaminate, huffman, langid, packing, sampling, secrets, simhash, substrings, token_counts,
-    toxicity, warc,
+    decontaminate, huffman, langid, packing, sampling, secrets, simhash, spelling, substrings,
+    token_counts, toxicity, warc,
 )
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
@@ -128,3 +128,8 @@ def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counted = token_counts.count_tokens(table(spark, folder, "documents"), path)
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query("op12_spelling", spelling.sql())
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
