@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe.llm import (
     decontaminate, huffman, langid, packing, sampling, secrets, simhash, spelling, substrings,
-    token_counts, toxicity, warc,
+    token_counts, toxicity, vector_codes, warc,
 )
 from rimeframe.llm.registry import ORACLES, QUERIES, query, table
 from rimeframe.llm.shared import fold
@@ -133,3 +135,11 @@ def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_spelling", spelling.sql())
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
+
+
+@query("op11_vector_codes", vector_codes.sql())
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = vector_codes.encode(table(spark, folder, "embeddings"))
+    digest = hashlib.sha256(vector_codes.codebooks_text(books).encode()).hexdigest()
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
