@@ -5,6 +5,7 @@ from rimeframe.catalog import (  # noqa: F401  (importing registers the queries)
     evaluation_queries,
     gold_queries,
     model_queries,
+    neighbour_queries,
     silver_queries,
     source_queries,
 )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
 
+EARTH_RADIUS_KM = 6371.0088
+
 
 def cell(coordinate: Column, degrees: float = 1) -> Column:
     """South-west edge of the grid cell: BIGINT for whole degrees, DOUBLE otherwise."""
@@ -40,6 +42,20 @@ def boxes_containing(
     return F.array_compact(F.array(*named))
 
 
+def unit_vector(latitude: Column, longitude: Column) -> dict[str, Column]:
+    """The position as a point of the unit sphere: no seam at the date line, no poles."""
+    lat, lon = F.radians(latitude), F.radians(longitude)
+    return {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}
+
+
+def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Distance on the sphere of mean radius, by the haversine form, which is exact for near points."""
+    north = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
+    east = F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
+    root = F.sqrt(north + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * east)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(root, F.lit(1.0)))
+
+
 def elevation_band(elevation_m: Column, width_m: int = fv.ELEVATION_BAND_M) -> Column:
     """Lower edge of the band, truncated toward zero (so -10 falls into band 0)."""
     return (elevation_m / F.lit(width_m)).cast("int") * F.lit(width_m)
