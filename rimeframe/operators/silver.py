@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, IntegralType
 
 from rimeframe import fixed_values as fv
 from rimeframe.functions import climate
@@ -27,7 +28,9 @@ def widen(
     When a station reports an element twice on a day the choice is deterministic: the first
     (or ``latest``) non-null value by ``order_by``.  Without it the latest by ``load_order`` is
     taken where ingest has left that column, so corrections count, and the smallest value
-    elsewhere.  Use a numeric or timestamp order column, so the aggregate stays hash-based.
+    elsewhere.  Equal orders are parted by the value, the larger being the later one, so the choice
+    never depends on the order of rows.  With a whole-number order column the aggregate stays
+    hash-based.
 
     Filtered aggregates over (id, date) need one shuffle and combine on the map side, while a
     pivot would first group by element as well and shuffle twice.  After this step (id, date)
@@ -42,7 +45,7 @@ def widen(
         value = F.when(F.col("element") == element, F.col("value"))
         if order_by is None:
             return F.min(value)
-        order = F.when(value.isNotNull(), F.col(order_by))
+        order = F.when(value.isNotNull(), _total_order(readings, order_by))
         return F.max_by(value, order) if latest else F.min_by(value, order)
 
     return (
@@ -52,6 +55,15 @@ def widen(
     )
 
 
+def _total_order(readings: DataFrame, order_by: str) -> Column:
+    """The order column, then the value; as one whole number where both are."""
+    value = F.col("value")
+    kinds = [readings.schema[name].dataType for name in (order_by, "value")]
+    if isinstance(kinds[0], IntegralType) and isinstance(kinds[1], IntegerType):
+        return F.col(order_by).cast("decimal(19,0)") * F.lit(1 << 32) + (value.cast("bigint") + F.lit(1 << 31))
+    return F.struct(F.col(order_by), value)
+
+
 def to_si(wide: DataFrame) -> DataFrame:
     """Element columns in raw units to named columns in degrees Celsius and millimetres."""
     others = [c for c in wide.columns if c not in fv.ELEMENTS]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
@@ -64,23 +64,31 @@ def read_readings(
     return reader.csv(paths)
 
 
-def with_origin(readings: DataFrame) -> DataFrame:
+def source_name() -> Column:
+    """One file by its name and a hash of its whole path."""
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    return F.concat_ws("-", name, F.lower(F.hex(F.xxhash64(path))))
+
+
+def with_origin(readings: DataFrame, also: dict[str, Column] | None = None) -> DataFrame:
     """Adds ``source``, which names one file by its whole path, and ``load_order``.
 
     ``load_order`` grows with the landing time; its low bits order files of one millisecond and
-    the lines of one file by content, so two readings of a station-day never tie by accident.
+    the lines of one file by content.  Readings that tie are ordered by value in the silver layer.
+    ``also`` adds other columns from the file's metadata.
     """
-    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    path = F.col("_metadata.file_path")
     landed = F.unix_millis(F.col("_metadata.file_modification_time"))
     line = F.xxhash64("id", "date_raw", "element", "value", "q_flag", "obs_time")
     return readings.select(
         "*",
-        F.concat_ws("-", name, F.lower(F.hex(F.xxhash64(path)))).alias("source"),
+        source_name().alias("source"),
         (
             landed * F.lit(1 << 21)
             + F.pmod(F.xxhash64(path), F.lit(1 << 8)) * F.lit(1 << 13)
             + F.pmod(line, F.lit(1 << 13))
         ).alias(LOAD_ORDER),
+        *[column.alias(name) for name, column in (also or {}).items()],
     )
 
 
