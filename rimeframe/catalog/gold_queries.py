@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rimeframe.catalog import adapters as data
 from rimeframe.catalog.registry import query
 from rimeframe.catalog.sql import (
+    COMMON,
     GDD_LIST,
     GOLD_LIST,
     LABEL_LIST,
@@ -18,7 +19,10 @@ from rimeframe.catalog.sql import (
     oracle,
     r6,
 )
-from rimeframe.operators import gold
+from rimeframe.operators import gold, silver
+from rimeframe.sources.layers import write_years
+from rimeframe.storage import fresh_path
+from rimeframe.streaming.refresh import read_gold, refresh_gold
 from rimeframe.streaming.slices import rebuild_gold_years
 
 KEY = ("id", "date")
@@ -159,3 +163,26 @@ def gold_with_climate(spark, folder):
 def t2(spark, folder):
     """Two years rebuilt with a halo equal the same years of a full build."""
     return rebuild_gold_years(data.silver_days(spark, folder), 1998, 1999)
+
+
+_EDITED = f"""
+    select id, date, element, case when element = 'TMIN' and year = 1998 and id like '%7' then value + 10
+      else value end as value, q_flag, order_key, year, month
+    from ({COMMON["bronze"]}) where not (id like '%3' and year = 1999)"""
+
+
+@query("t2_refreshed_gold", oracle(
+    f"select {columns(GOLD_LIST)} from gold", "gold", instead={"bronze": _EDITED}))
+def t2_refreshed(spark, folder):
+    """Gold built once, then brought up to date after some stations' readings were corrected or withdrawn."""
+    silver_path, target = fresh_path(spark, "silver"), fresh_path(spark, "gold")
+    bronze, stations = data.bronze_readings(spark, folder), data.stations(spark, folder)
+    write_years(silver.to_silver(bronze, stations), silver_path, sort_by=KEY)
+    refresh_gold(spark, silver_path, target)
+    raised = (F.col("element") == "TMIN") & (F.col("year") == 1998) & F.col("id").endswith("7")
+    withdrawn = F.col("id").endswith("3") & (F.col("year") == 1999)
+    edited = bronze.filter(F.col("year").isin(1998, 1999) & ~withdrawn).withColumn(
+        "value", F.when(raised, F.col("value") + 10).otherwise(F.col("value")))
+    write_years(silver.to_silver(edited, stations), silver_path, sort_by=KEY)
+    refresh_gold(spark, silver_path, target)
+    return read_gold(spark, target).select(*names(GOLD_LIST))

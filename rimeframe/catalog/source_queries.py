@@ -16,6 +16,7 @@ from rimeframe.sources import fixed_width as fw
 from rimeframe.sources import layers, readings
 from rimeframe.storage import fresh_path
 from rimeframe.streaming.ingest import OWNED, ingest_landed
+from rimeframe.streaming.owned import ingest_changed, read_owned
 
 LONG = "id date year month element value"
 LONG_SQL = oracle(f"select {columns(LONG)} from bronze", "bronze")
@@ -364,3 +365,20 @@ def s8_stray_year(spark, folder):
         typed = bronze.to_bronze(readings.with_origin(readings.read_readings(spark, path)))
         layers.write_years(typed, target, by=OWNED)
     return layers.read_layer(spark, target).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s8_owned_partitions", oracle(
+    f"select {columns(LONG)} from bronze where not (cast(substr(id, 2) as int) % 4 = 0 and year < 1998)",
+    "bronze"))
+def s8_owned(spark, folder):
+    """Deliveries of all years; one is landed again without its first years, which go with it."""
+    landing, target = fresh_path(spark, "landing"), fresh_path(spark, "bronze")
+    raw = data.raw_readings(spark, folder)
+    part = F.substring("id", 2, 9).cast("int") % 4
+    for k in range(4):
+        raw.filter(part == k).write.csv(f"{landing}/delivery{k}.csv")
+    ingest_changed(spark, landing, target)
+    later = raw.filter((part == 0) & (F.substring("date_raw", 1, 4).cast("int") >= 1998))
+    later.write.mode("overwrite").csv(f"{landing}/delivery0.csv")
+    ingest_changed(spark, landing, target, drop_missing=True)
+    return read_owned(spark, target).select(*LONG_NAMES)

@@ -159,14 +159,20 @@ COMMON = {
 }
 
 
-def oracle(body: str, upto: str | None = None, also: tuple[str, ...] = ()) -> str:
-    """``body`` preceded by the common tables it may use, up to and including ``upto``."""
+def oracle(
+    body: str, upto: str | None = None, also: tuple[str, ...] = (), instead: dict[str, str] | None = None
+) -> str:
+    """``body`` preceded by the common tables it may use, up to and including ``upto``.
+
+    ``instead`` replaces some of them.
+    """
     names = list(COMMON)
     used = names[: names.index(upto) + 1] if upto else []
     used += [name for name in also if name not in used]
     if not used:
         return body
-    tables = ",\n".join(f"{name} as ({COMMON[name]})" for name in used)
+    texts = {**COMMON, **(instead or {})}
+    tables = ",\n".join(f"{name} as ({texts[name]})" for name in used)
     return f"with {tables}\n{body}"
 
 
