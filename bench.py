@@ -23,6 +23,7 @@ from rimeframe.operators import bronze as br  # noqa: E402
 from rimeframe.operators import evaluation as ev  # noqa: E402
 from rimeframe.operators import gold as gd  # noqa: E402
 from rimeframe.operators import modelling as ml  # noqa: E402
+from rimeframe.operators import ranking as rk  # noqa: E402
 from rimeframe.operators import silver as sv  # noqa: E402
 from rimeframe.plans.training import train_frost_model  # noqa: E402
 from rimeframe.session import builder  # noqa: E402
@@ -83,7 +84,7 @@ def main() -> None:
         "storage_priority": lambda: run(an.storage_priority(table("gold"))),
         "rule_metrics": lambda: run(ev.classification_metrics(ev.with_rule(held_out()))),
         "rule_by_threshold": lambda: run(ev.rule_by_threshold(held_out())),
-        "persistence_auc": lambda: run(ev.persistence_auc(held_out())),
+        "persistence_auc": lambda: run(rk.persistence_auc(held_out())),
         "word_count": lambda: run(an.word_counts(data.table(spark, folder, "documents"))),
         "train_lr": lambda: train("lr"),
         "train_gbt": lambda: train("gbt"),

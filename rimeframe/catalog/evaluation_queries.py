@@ -10,6 +10,7 @@ from rimeframe.catalog.registry import query
 from rimeframe.catalog.sql import columns, oracle, r6
 from rimeframe.operators import evaluation as ev
 from rimeframe.operators import modelling as ml
+from rimeframe.operators import ranking as rk
 
 
 def labelled(spark, folder):
@@ -50,23 +51,27 @@ def p12(spark, folder):
 
 
 @query("p15_probability_bins", oracle(
-    "select cast(least(floor(p1 * 1000), 999) as int) as bin, count(*) as n from scored "
-    "where p1 is not null group by 1", "scored"))
+    "select cast(least(floor(p1 * 1000), 999) as int) as bin, count(*) as n "
+    "from (select 1 / (1 + exp(tmin_c)) as p1 from labelled) where p1 is not null group by 1", "labelled"))
 def p15(spark, folder):
-    """The class probability taken out of a model-style vector, then binned."""
+    """The class probability taken out of a model-style vector, then binned; all labelled rows."""
     from pyspark.ml.functions import array_to_vector
 
     p1 = F.col("p1")
-    with_vector = scored(spark, folder).filter(p1.isNotNull()).withColumn(
+    rows = labelled(spark, folder).withColumn("p1", F.lit(1) / (F.lit(1) + F.exp("tmin_c")))
+    with_vector = rows.filter(p1.isNotNull()).withColumn(
         "probability", array_to_vector(F.array(F.lit(1.0) - p1, p1))
     )
     unpacked = ev.frost_probability(with_vector.drop("p1"))
     return unpacked.groupBy(ev.score_bin(p1, 1000).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("p16_frost_rule", oracle(f"select {columns('id date prediction~')} from ruled", "ruled"))
+@query("p16_frost_rule", oracle(
+    "select id, cast(date as varchar) as date, case when tmin_c <= 2.0 then 1.0::double else 0.0::double end "
+    "as prediction from labelled", "labelled"))
 def p16(spark, folder):
-    return ruled(spark, folder).select("id", "date", "prediction")
+    """The rule on all labelled rows."""
+    return ev.with_rule(labelled(spark, folder)).select("id", "date", "prediction")
 
 
 @query("f7_label_present", oracle(
@@ -145,7 +150,7 @@ def e5(spark, folder):
         count(*) filter (where label = 1) as pos, count(*) filter (where label = 0) as neg
         from labelled where year = 2001 and tmin_c is not null group by 1))""", "labelled"))
 def e6(spark, folder):
-    return ev.persistence_auc(held_out(spark, folder))
+    return rk.persistence_auc(held_out(spark, folder))
 
 
 _STEPS = "(values " + ", ".join(f"({t}::double)" for t in fv.PROBABILITY_STEPS) + ") s(threshold)"
@@ -192,19 +197,18 @@ def e8(spark, folder):
         from labelled where year = 2001 and tmin_c is not null
         and abs(latitude) between 30 and 55 group by 1))""", "labelled"))
 def e8_auc(spark, folder):
-    return ev.persistence_auc(ev.mid_latitude(held_out(spark, folder)))
+    return rk.persistence_auc(ev.mid_latitude(held_out(spark, folder)))
 
 
 @query("e9_regression_metrics", oracle(
     f"""select count(*) as n, {r6('sqrt(avg(e * e))', 'rmse')}, {r6('avg(e * e)', 'mse')},
     {r6('avg(abs(e))', 'mae')}, {r6('1 - avg(e * e) / var_pop(y)', 'r2')}
     from (select next_day_tmin_c as y, next_day_tmin_c - tmin_c as e from labels_ahead
-      where year = 2001 and next_day_tmin_c is not null and tmin_c is not null)""",
+      where next_day_tmin_c is not null and tmin_c is not null)""",
     "labels_ahead"))
 def e9(spark, folder):
-    """Persistence as a temperature forecast."""
-    days = data.gold_days(spark, folder).filter(F.col("year") == data.TEST_YEAR)
-    return ev.regression_metrics(days, "next_day_tmin_c", "tmin_c")
+    """Persistence as a temperature forecast, over all years."""
+    return ev.regression_metrics(data.gold_days(spark, folder), "next_day_tmin_c", "tmin_c")
 
 
 @query("e10_class_balance", oracle(
@@ -213,3 +217,63 @@ def e9(spark, folder):
     "from labelled group by 1", "labelled"))
 def e10(spark, folder):
     return ev.class_balance(labelled(spark, folder), data.TEST_YEAR)
+
+
+def _areas(source: str, keys: str) -> str:
+    """ROC and precision-recall areas of p1 by ``keys``, walking down the distinct scores."""
+    return f"""select {keys}, max(all_pos)::bigint as n_pos, max(all_neg)::bigint as n_neg,
+      sum(neg * (2 * tp - pos) / 2.0::double) / max(all_pos::double * all_neg) as roc_auc,
+      sum(pos * (p + coalesce(p0, p)) / 2) / max(all_pos) as pr_auc, sum(pos * p) / max(all_pos) as average_precision
+      from (select *, tp / (tp + fp)::double as p, case when tp + fp - pos - neg > 0
+          then (tp - pos) / (tp + fp - pos - neg)::double end as p0
+        from (select *, sum(pos) over (partition by {keys} order by p1 desc) as tp,
+            sum(neg) over (partition by {keys} order by p1 desc) as fp,
+            sum(pos) over (partition by {keys}) as all_pos, sum(neg) over (partition by {keys}) as all_neg
+          from (select {keys}, p1, count(*) filter (where label = 1) as pos,
+              count(*) filter (where label = 0) as neg
+            from {source} where p1 is not null group by all))) group by {keys}"""
+
+
+_AREA_LIST = ", ".join(r6(x) for x in ("roc_auc", "pr_auc", "average_precision"))
+#: A score on a grid of tenths, so that engines agree on its ties, and a prediction of it.
+_GRID = """(select *, -round(tmin_c * 10) as p1, case when tmin_c <= 2 then 1.0::double else 0.0::double end
+    as prediction, coalesce(abs(latitude) between 38 and 40, false) as band, 0 as one from labelled)"""
+
+
+def gridded(spark, folder):
+    rows = ev.with_rule(labelled(spark, folder))
+    band = F.coalesce(F.abs("latitude").between(38, 40), F.lit(False))
+    return rows.withColumns({"p1": -F.round(F.col("tmin_c") * 10), "band": band})
+
+
+@query("e1_six_metrics", oracle(
+    f"""select n_pos, n_neg, {_AREA_LIST}, accuracy, f1, weighted_precision, weighted_recall
+    from ({_areas(_GRID, 'one')}) cross join ({_METRICS.replace('from ruled', 'from ' + _GRID)})""", "labelled"))
+def e1_six(spark, folder):
+    """All metrics of a fixed score over all labelled rows; areas are exact."""
+    rows = gridded(spark, folder)
+    areas = rk.ranking_metrics(rows, F.col("p1")).drop("stratum")
+    return areas.join(ev.classification_metrics(rows))
+
+
+_SETS = {"all": (), "band": ("band",), "year": ("year",), "band+year": ("band", "year")}
+
+
+def _stratum_sql(name: str, keys: tuple) -> str:
+    named = ", ".join(keys) or "one"
+    shown = ", ".join(k if k in keys else f"null as {k}" for k in ("band", "year"))
+    return f"""select '{name}' as stratum, {shown.replace('band', 'band::int as band', 1) if 'band' in keys else shown},
+      {_AREA_LIST}, n, tn, fp, fn, tp from ({_areas(_GRID, named)}) join (
+        select {named}, count(*) as n, count(*) filter (where label = 0 and prediction = 0) as tn,
+          count(*) filter (where label = 0 and prediction = 1) as fp,
+          count(*) filter (where label = 1 and prediction = 0) as fn,
+          count(*) filter (where label = 1 and prediction = 1) as tp from {_GRID} group by all) using ({named})"""
+
+
+@query("e8_strata", oracle(
+    " union all ".join(_stratum_sql(name, keys) for name, keys in _SETS.items()), "labelled"))
+def e8_strata(spark, folder):
+    """Whole table, latitude band, year, and both, from one pass over the rows."""
+    found = rk.strata_metrics(gridded(spark, folder), F.col("p1"), list(_SETS.values()))
+    return found.select("stratum", "band", "year", "roc_auc", "pr_auc", "average_precision",
+                        "n", "tn", "fp", "fn", "tp")

@@ -20,7 +20,10 @@ from rimeframe.catalog.registry import query
 from rimeframe.catalog.sql import columns, oracle, r6
 from rimeframe.functions.sampling import hash_point
 from rimeframe.operators import evaluation as ev
+from rimeframe.operators import folds as fo
+from rimeframe.operators import medians as md
 from rimeframe.operators import modelling as ml
+from rimeframe.operators import ranking as rk
 from rimeframe.storage import fresh_path, stage
 
 TRAINING_ROWS = 20_000
@@ -84,6 +87,19 @@ def m2(spark, folder):
     return counted.select(F.inline(F.array(*fv.FEATURES)))
 
 
+_MEDIANS = " union all ".join(
+    f"select '{f}' as feature, count({f}) as n, {r6(f'quantile_disc({f}, 0.5)::double', 'median')} "
+    "from labelled where year < 2001" for f in fv.FEATURES
+)
+
+
+@query("m2_exact_medians", oracle(_MEDIANS, "labelled"))
+def m2_exact(spark, folder):
+    """The medians themselves, exactly, of all features of the train part."""
+    train, _ = staged_parts(spark, folder)
+    return md.exact_medians(train, fv.FEATURES)
+
+
 @query("m3_vector_assembly", oracle(
     "select year, count(*) as n, cast(30 * count(*) as bigint) as n_entries, "
     "cast(sum(" + " + ".join(f"cast({f} is null as int)" for f in fv.FEATURES)
@@ -213,6 +229,68 @@ def m9(spark, folder):
     return ml.metrics_table(spark, ml.side_by_side(spark, jobs, THREADS))
 
 
+def _grid_scores(spark, folder, algorithm):
+    train, test = bounded_parts(spark, folder)
+    estimator = ml.frost_pipeline(algorithm)
+    jobs = {
+        ", ".join(f"{p.name}={v}" for p, v in params.items()): partial(
+            ml.fit_and_judge, train, test, estimator.copy(params))
+        for params in ml.parameter_grid(algorithm, estimator.getStages()[-1])
+    }
+    return ml.metrics_table(spark, ml.side_by_side(spark, jobs, THREADS))
+
+
+@query("m9_boosted_grid")
+def m9_gbt(spark, folder):
+    """Each combination of the boosted grid."""
+    return _grid_scores(spark, folder, "gbt")
+
+
+@query("m9_forest_grid")
+def m9_rf(spark, folder):
+    """Each combination of the forest grid."""
+    return _grid_scores(spark, folder, "rf")
+
+
+@query("m10_random_folds")
+def m10_random(spark, folder):
+    """All linear combinations over three seeded random folds."""
+    train, _ = staged_parts(spark, folder)
+    return ml.tuning_scores(spark, ml.tune(train, "lr", parallelism=THREADS))
+
+
+GAP_DAYS = 7
+
+_FOLDS_SQL = f"""
+    select f.fold, cast(f.start as varchar) as first_day,
+      cast(f.stop - interval 1 day as date)::varchar as last_day,
+      count(*) filter (where label_date < f.start - interval {GAP_DAYS} day) as n_train,
+      count(*) filter (where v.date >= f.start and v.date < f.stop) as n_judged,
+      max(label_date) filter (where label_date < f.start - interval {GAP_DAYS} day)::varchar as last_label
+    from (select *, cast(lead(date) over (partition by id order by date) as date) as label_date from gold) v
+    join (select part - 1 as fold, start, coalesce(lead(start) over (order by part), (
+          select cast(max(date) + interval 1 day as date) from gold where next_day_is_frost is not null)) as stop
+      from (select cast(floor(before * 4 / total) as int) as part, min(date) as start
+        from (select date, sum(count(*)) over (order by date) - count(*) as before,
+            sum(count(*)) over () as total
+          from gold where next_day_is_frost is not null group by date) group by 1)) f on f.fold >= 0
+    where v.next_day_is_frost is not null group by f.fold, f.start, f.stop"""
+
+
+@query("m10_forward_folds", oracle(_FOLDS_SQL, "gold"))
+def m10_folds(spark, folder):
+    """Expanding training parts, and a week between their last label and the first judged day."""
+    view = stage(fo.dated_view(data.gold_days(spark, folder), 1, ["tmin_c"]), "dated")
+    return fo.fold_sizes(view, fo.fold_starts(view, 3), GAP_DAYS)
+
+
+@query("m10_forward_tuning")
+def m10_forward(spark, folder):
+    """All linear combinations on folds that look forward, with the exact area of each."""
+    view = stage(fo.dated_view(data.gold_days(spark, folder)), "dated")
+    return fo.tune_forward(view, "lr", 3, GAP_DAYS, parallelism=THREADS).scores
+
+
 @query("m10_cross_validation")
 def m10(spark, folder):
     """All six linear combinations over three folds of whole years."""
@@ -257,6 +335,24 @@ def m15(spark, folder):
     return ml.horizon_skill(known, data.TEST_YEAR, parallelism=THREADS)
 
 
+@query("m15_shared_horizons")
+def m15_shared(spark, folder):
+    """One boosted model for all horizons, judged for each of them from one scored table."""
+    view = stage(ml.horizon_view(data.gold_days(spark, folder)), "horizons")
+    train, test = ml.split_by_year(view, data.TEST_YEAR)
+    return ml.shared_horizon_skill(stage(ml.bounded(train, TRAINING_ROWS), "bounded"), test)
+
+
+@query("e8_fitted_model_by_band")
+def e8_fitted(spark, folder):
+    """A boosted model judged on the middle latitudes, elsewhere and by year, from one scored table."""
+    train, test = bounded_parts(spark, folder)
+    scored = ev.frost_probability(ml.frost_pipeline("gbt").fit(train).transform(test))
+    named = scored.withColumn("mid_latitude", ev.space.in_latitude_band(F.col("latitude")))
+    rows = stage(named.select("year", "mid_latitude", fv.LABEL, "prediction", "p1"), "scored")
+    return rk.strata_metrics(rows, F.col("p1"), [[], ["mid_latitude"], ["year"]])
+
+
 def _temperatures(spark, folder):
     days = data.gold_days(spark, folder).filter(F.col("next_day_tmin_c").isNotNull())
     staged = stage(days.select("year", "next_day_tmin_c", *fv.FEATURES), "temperatures")

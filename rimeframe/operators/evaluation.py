@@ -50,10 +50,11 @@ def confusion(scored: DataFrame, *by: str) -> DataFrame:
 
 def frost_class_metrics(scored: DataFrame, *by: str) -> DataFrame:
     """Precision, recall and F1 of the frost class."""
-    return confusion(scored, *by).transform(_positive_class)
+    return confusion(scored, *by).transform(with_frost_class)
 
 
-def _positive_class(counts: DataFrame) -> DataFrame:
+def with_frost_class(counts: DataFrame) -> DataFrame:
+    """Adds precision, recall and F1 of the frost class to tp, fp and fn."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return counts.withColumns(
         {"precision": _ratio(tp, tp + fp), "recall": _ratio(tp, tp + fn)}
@@ -97,7 +98,7 @@ def rule_by_threshold(df: DataFrame, thresholds: tuple = fv.FROST_RULE_STEPS_C)
         ]
     one_row = df.agg(*counts)
     by_threshold = one_row.select(F.inline(F.array(*[f"at_{k}" for k in thresholds])))
-    return _positive_class(by_threshold)
+    return with_frost_class(by_threshold)
 
 
 def _cumulative(binned: DataFrame, order: Column) -> DataFrame:
@@ -117,7 +118,8 @@ def _cumulative(binned: DataFrame, order: Column) -> DataFrame:
     )
 
 
-def _label_counts() -> list[Column]:
+def label_counts() -> list[Column]:
+    """Rows of either label, as pos and neg."""
     return [
         F.count_if(F.col(fv.LABEL) == 1).alias("pos"),
         F.count_if(F.col(fv.LABEL) == 0).alias("neg"),
@@ -129,7 +131,7 @@ def curve_points(scored: DataFrame, score: str = "p1", bins: int = 1000) -> Data
     binned = (
         scored.filter(F.col(score).isNotNull())
         .groupBy(score_bin(F.col(score), bins).alias("bin"))
-        .agg(*_label_counts())
+        .agg(*label_counts())
     )
     running = _cumulative(binned, F.desc("bin"))
     return running.select(
@@ -142,50 +144,6 @@ def curve_points(scored: DataFrame, score: str = "p1", bins: int = 1000) -> Data
     )
 
 
-def score_auc(df: DataFrame, score: Column, parts: int = 1000) -> DataFrame:
-    """Area under the ROC curve of a raw score, exactly; equal scores count half.
-
-    Labels are counted per distinct score.  Scores are ranked in up to ``parts`` ranges, whose
-    bounds come from a bounded sketch, and the ranges (one row each) are put on top of each other;
-    so no task holds all scores.  A NULL score is left out.
-    """
-    counted = (
-        df.select(score.cast("double").alias("score"), fv.LABEL)
-        .filter("score IS NOT NULL")
-        .groupBy("score")
-        .agg(*_label_counts())
-    )
-    shares = [i / parts for i in range(1, parts)]
-    found = counted.agg(F.percentile_approx("score", shares).alias("bounds")).first()
-    bounds = F.lit(sorted(set(found["bounds"] or [])) or [0.0])
-    ranged = counted.withColumn("part", F.size(F.filter(bounds, lambda b: b < F.col("score"))))
-    below = (
-        Window.partitionBy("part").orderBy("score")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    half = F.col("neg") / F.lit(2.0)
-    inner = ranged.withColumn(
-        "wins", F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + half)
-    )
-    summed = inner.groupBy("part").agg(F.sum("wins").alias("wins"), F.sum("pos").alias("pos"),
-                                       F.sum("neg").alias("neg"))
-    lower = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most ``parts``
-    stacked = summed.withColumn(
-        "wins", F.col("wins") + F.col("pos") * F.coalesce(F.sum("neg").over(lower), F.lit(0))
-    )
-    n_pos, n_neg = F.sum("pos"), F.sum("neg")
-    return stacked.agg(
-        F.try_divide(F.sum("wins"), n_pos * n_neg).alias("auc"),
-        n_pos.alias("n_pos"),
-        n_neg.alias("n_neg"),
-    )
-
-
-def persistence_auc(df: DataFrame) -> DataFrame:
-    """How well today's minimum alone ranks tomorrow's frost."""
-    return score_auc(df, -F.col("tmin_c"))
-
-
 def threshold_sweep(
     scored: DataFrame, score: str = "p1", thresholds: tuple = fv.PROBABILITY_STEPS
 ) -> DataFrame:
@@ -197,7 +155,7 @@ def threshold_sweep(
     reached = (
         scored.filter(F.col(score).isNotNull())
         .groupBy(thresholds_reached(F.col(score), thresholds).alias("reached"))
-        .agg(*_label_counts())
+        .agg(*label_counts())
     )
     slots = scored.sparkSession.range(len(thresholds) + 1).select(F.col("id").cast("int").alias("reached"))
     full = slots.join(reached, "reached", "left").na.fill(0, ["pos", "neg"])
@@ -206,7 +164,7 @@ def threshold_sweep(
     points = counted.select(
         at.alias("threshold"), "tp", "fp", (F.col("all_pos") - F.col("tp")).alias("fn")
     )
-    return _positive_class(points)
+    return with_frost_class(points)
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ from rimeframe import fixed_values as fv
 from rimeframe.functions.sampling import hash_sampled
 from rimeframe.operators import evaluation as ev
 from rimeframe.operators import gold as g
+from rimeframe.operators import ranking as rk
+from rimeframe.storage import stage
 
 CLASSIFIERS = {
     "gbt": GBTClassifier,
@@ -263,6 +265,32 @@ def horizon_skill(
     )
 
 
+def stacked_horizons(view: DataFrame, horizons: Iterable[int] = fv.HORIZONS) -> DataFrame:
+    """The view in long form: a row for each known label, with its horizon."""
+    horizons = list(horizons)
+    labels = F.array(*[F.struct(F.lit(k).alias("horizon_days"), F.col(f"y_h{k}").alias(fv.LABEL)) for k in horizons])
+    others = [c for c in view.columns if c not in {f"y_h{k}" for k in horizons}]
+    return view.select(*others, F.inline(labels)).filter(F.col(fv.LABEL).isNotNull())
+
+
+def shared_horizon_skill(
+    train: DataFrame, test: DataFrame, horizons: Iterable[int] = fv.HORIZONS, algorithm: str = "gbt", **overrides
+) -> DataFrame:
+    """One model for all horizons, with the horizon as a feature: one fit and one scoring instead of one each.
+
+    All horizons are judged from one scored table: confusion, accuracy and ranking areas at the model's own
+    threshold, and for each horizon the probability threshold of highest F1 with that F1.
+    """
+    features = [*fv.FEATURES, "horizon_days"]
+    model = frost_pipeline(algorithm, features, **overrides).fit(stacked_horizons(train, horizons))
+    scored = ev.frost_probability(model.transform(stacked_horizons(test, horizons)))
+    rows = stage(scored.select("horizon_days", fv.LABEL, "prediction", "p1"), "scored")
+    judged = rk.strata_metrics(rows, F.col("p1"), [["horizon_days"]])
+    best = rk.best_thresholds(rows, ["horizon_days"]).select(
+        "horizon_days", F.col("threshold").alias("best_threshold"), F.col("f1").alias("best_f1"))
+    return judged.select("horizon_days", "n", "accuracy", "f1", "roc_auc", "pr_auc").join(best, "horizon_days")
+
+
 # --- regression and categorical encoding --------------------------------------------------
 
 def temperature_pipeline(

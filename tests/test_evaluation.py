@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rimeframe.functions.sampling import hash_sampled
 from rimeframe.operators import analysis as an
 from rimeframe.operators import evaluation as ev
+from rimeframe.operators import ranking as rk
 
 
 def scored(spark, pairs):
@@ -52,21 +53,22 @@ def brute_auc(pairs):
 
 def test_auc_counts_ties_half(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 0.0), (0.0, 0.0)], "s DOUBLE, label DOUBLE")
-    assert ev.score_auc(df, F.col("s")).first().auc == 0.75
+    assert rk.score_auc(df, F.col("s")).first().auc == 0.75
 
 
-def test_auc_against_all_pairs(spark):
+def test_auc_against_all_pairs(spark, monkeypatch):
     rng = random.Random(7)
     pairs = [(round(rng.gauss(0, 4), 1), float(rng.random() < 0.3)) for _ in range(300)]
     df = spark.createDataFrame(pairs + [(None, 1.0)], "s DOUBLE, label DOUBLE")
-    assert ev.score_auc(df, F.col("s")).first().auc == pytest.approx(brute_auc(pairs))
+    assert rk.score_auc(df, F.col("s")).first().auc == pytest.approx(brute_auc(pairs))
     tiny = [(i * 1e-4, int(i % 3 == 0 or i > 25)) for i in range(31)]
     small = spark.createDataFrame([(s, float(y)) for s, y in tiny], "s double, label double")
-    for parts in (3, 1000):
-        exact = ev.score_auc(small, F.col("s"), parts).first().auc
+    for rows in (3, 1000):
+        monkeypatch.setattr(rk, "ROWS_PER_RANGE", rows)
+        exact = rk.score_auc(small, F.col("s")).first().auc
         assert exact == pytest.approx(brute_auc(tiny))
     one_class = df.filter("label = 1")
-    assert ev.score_auc(one_class, F.col("s")).first().auc is None
+    assert rk.score_auc(one_class, F.col("s")).first().auc is None
 
 
 def test_sweep_and_curve_against_brute_force(spark):
