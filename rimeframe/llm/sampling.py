@@ -3,7 +3,7 @@
 A text is a bag of words (ASCII case folded) weighted by their counts.  For each of ``SAMPLES``
 draws a word gets r and c from Gamma(2, 1) and b from [0, 1), all by hashing the word; with weight w
 its rank is ln c - r (t - b + 1) where t = floor(ln w / r + b).  The word of least rank and its t are
-the sample, kept as 16 bits.  Two texts agree in a sample with the probability of their generalised
+the sample, kept as 16 bits; of words with equal ranks that of smaller hash counts.  Two texts agree in a sample with the probability of their generalised
 Jaccard similarity, sum of minima over sum of maxima of the weights (and 1 in 65,536 by chance).
 
 Defined cases: a text without words (null, empty, blank) has the fingerprint of no sample, equal to
@@ -84,32 +84,39 @@ class Sampler:
             return self.empty
         rows = np.fromiter(map(self.rows.__getitem__, bag), np.int64, len(bag))
         weights = np.fromiter(bag.values(), np.int64, len(bag))
-        order = np.argsort(rows)  # ties in rank go the same way whatever the order of the words
+        order = np.argsort(rows)  # rows near each other are read together
         rows, weights = rows[order], weights[order]
         best = np.full(self.samples, np.inf, dtype=np.float32)
+        word = np.full(self.samples, np.iinfo(np.uint64).max, dtype=np.uint64)
         chosen = np.zeros(self.samples, dtype=np.uint64)
-        columns = np.arange(self.samples)
+
+        def settle(some: np.ndarray, ranks: np.ndarray, t: np.ndarray | None) -> None:
+            """Take over the words of least rank, of those with equal ranks the one of smallest hash."""
+            least = ranks.min(axis=0)
+            at, sample = np.nonzero(ranks == least)
+            hashes = self.hashes[some[at]]
+            if len(at) > self.samples:
+                first = np.lexsort((hashes, sample))
+                first = first[np.concatenate(([True], np.diff(sample[first]) > 0))]
+            else:
+                first = np.argsort(sample)
+            at, hashes = at[first], hashes[first]
+            better = (least < best) | ((least == best) & (hashes < word))
+            best[better], word[better] = least[better], hashes[better]
+            if t is not None:
+                hashes = hashes + t[at, np.arange(self.samples)].astype(np.int64).astype(np.uint64) * GOLDEN
+            chosen[better] = hashes[better]
+
         single, several = rows[weights == 1], weights > 1
         for begin in range(0, len(single), MADE_AT_ONCE):
             some = single[begin : begin + MADE_AT_ONCE]
-            ranks = self.once[some]
-            least = ranks.argmin(axis=0)
-            value = ranks[least, columns]
-            better = value < best
-            best[better] = value[better]
-            chosen[better] = self.hashes[some[least]][better]
+            settle(some, self.once[some], None)
         counted, ln_w = rows[several], np.log(weights[several]).astype(np.float32)
         for begin in range(0, len(counted), MADE_AT_ONCE):
             some = counted[begin : begin + MADE_AT_ONCE]
             r, b = self.r[some], self.b[some]
             t = np.floor(ln_w[begin : begin + MADE_AT_ONCE, None] / r + b)
-            ranks = self.ln_c[some] - r * (t - b + 1)
-            least = ranks.argmin(axis=0)
-            value = ranks[least, columns]
-            better = value < best
-            best[better] = value[better]
-            steps = t[least, columns].astype(np.int64).astype(np.uint64) * GOLDEN
-            chosen[better] = (self.hashes[some[least]] + steps)[better]
+            settle(some, self.ln_c[some] - r * (t - b + 1), t)
         return (_mixed(chosen + GOLDEN) >> np.uint64(48)).astype(np.uint16)
 
 
