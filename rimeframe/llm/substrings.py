@@ -8,8 +8,9 @@ doc_id, or same doc_id and earlier start) marks its words.
 Documents are taken in chunks.  A chunk sorts its windows, settles repeats inside by itself and sends
 one entry per distinct window to the task that owns its hash; so however often a window occurs, an
 owner gets it once per chunk.  Owners answer to the chunks.  Entries travel as packed columns, the
-windows of one chunk and owner in one row.  Windows are compared by hash (about 40 bits for each
-quarter, so at least that much for any two windows that differ).
+windows of one chunk and owner in one row.  Windows are compared by hashes of 64 bits at every level,
+whatever the number of owners; among n different quarters about ``n * n / 2 ** 65`` pairs are taken for
+equal, less than one for all of a corpus of a billion words.
 
 Words are what ``[^\\x20\\x09-\\x0D]+`` matches.  Defined cases: null or blank text has no words and
 keeps the empty text; rows with equal doc_id and start do not count as earlier than each other, so
@@ -31,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rimeframe.llm.shared import stage
+from rimeframe.storage import staging
 
 CHUNK_WORDS = 1 << 21
 MEMO_WORDS = 1 << 18
-LOW = np.uint64(0xFFFFFFFF)
 NULL_ID = -(1 << 63)
 GROUPS_PER_TASK = 4
 
@@ -110,7 +111,8 @@ class _Hashes(dict):
 
 
 def _owner(hashes: np.ndarray, owners: int) -> np.ndarray:
-    return (hashes >> np.uint64(40)) % np.uint64(owners)
+    """The task that settles a hash; it grows with the hash, so sorted hashes are sorted by owner."""
+    return ((hashes >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
 
 
 def _settled(key: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +138,14 @@ def _by_owner(rows: _Rows, chunk: int, owner: np.ndarray, body) -> None:
         rows.add(QUERY, chunk, int(owner[a]), body(slice(a, b)))
 
 
+def _ask(rows: _Rows, chunk: int, pos: np.ndarray, key: np.ndarray, owners: int) -> None:
+    """Settle repeats inside the chunk, and send one entry for each distinct window to its owner."""
+    firsts, repeated = _settled(key, np.argsort(key, kind="stable"))
+    _survive(rows, chunk, pos[repeated], key[repeated])
+    sent, at = key[firsts], pos[firsts].astype("<u4")
+    _by_owner(rows, chunk, _owner(sent, owners), lambda p: pack(_differences(sent[p]), at[p]))
+
+
 def _first_level(length: int, window: int, owners: int, chunk_words: int):
     """Chunks of documents to queries, survivors and a directory of the chunk's documents."""
 
@@ -164,13 +174,7 @@ def _first_level(length: int, window: int, owners: int, chunk_words: int):
             pos = np.repeat(bases - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
             if len(pos) == 0:
                 return
-            values = _mixed(total[pos])
-            owner = _owner(values, owners)
-            key = (owner << np.uint64(32)) | (values & np.uint64(0xFFFFFFFF))
-            firsts, repeated = _settled(key, np.argsort(key, kind="stable"))
-            _survive(rows, chunk, pos[repeated], key[repeated])
-            low, at = (key[firsts] & LOW).astype("<u4"), pos[firsts].astype("<u4")
-            _by_owner(rows, chunk, owner[firsts], lambda p: pack(_differences(low[p]), at[p]))
+            _ask(rows, chunk, pos, _mixed(total[pos]), owners)
 
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(3)]
@@ -206,37 +210,31 @@ def _groups(batches, column: int):
         yield value, held
 
 
-def _answers(short: bool):
+def _answers(batches):
     """Owners: keys that more than one chunk sent go back to those chunks as survivors."""
-
-    def run(batches):
-        rows = _Rows()
-        for owner, some in _groups(batches, 2):
-            chunks, keys, places = [], [], []
-            for kind, chunk, _, body in some:
-                if kind == QUERY:
-                    key, pos = unpack(body)
-                    chunks.append(np.full(len(pos), chunk, np.int64))
-                    keys.append(np.cumsum(key, dtype=key.dtype))
-                    places.append(pos)
-                else:
-                    rows.add(kind, chunk, owner, body)
-            if keys:
-                key, chunk, pos = map(np.concatenate, (keys, chunks, places))
-                _, repeated = _settled(key, np.argsort(key, kind="stable"))
-                key, chunk, pos = key[repeated].astype(np.uint64), chunk[repeated], pos[repeated]
-                if short:
-                    key |= np.uint64(owner) << np.uint64(32)
-                order = np.lexsort((pos, chunk))
-                key, chunk, pos = key[order], chunk[order], pos[order]
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]))
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                    if b > a:
-                        _survive(rows, int(chunk[a]), pos[a:b], key[a:b])
-            yield from rows.full()
-        yield from rows.full(0)
-
-    return run
+    rows = _Rows()
+    for owner, some in _groups(batches, 2):
+        chunks, keys, places = [], [], []
+        for kind, chunk, _, body in some:
+            if kind == QUERY:
+                key, pos = unpack(body)
+                chunks.append(np.full(len(pos), chunk, np.int64))
+                keys.append(np.cumsum(key, dtype=key.dtype))
+                places.append(pos)
+            else:
+                rows.add(kind, chunk, owner, body)
+        if keys:
+            key, chunk, pos = map(np.concatenate, (keys, chunks, places))
+            _, repeated = _settled(key, np.argsort(key, kind="stable"))
+            key, chunk, pos = key[repeated], chunk[repeated], pos[repeated]
+            order = np.lexsort((pos, chunk))
+            key, chunk, pos = key[order], chunk[order], pos[order]
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if b > a:
+                    _survive(rows, int(chunk[a]), pos[a:b], key[a:b])
+        yield from rows.full()
+    yield from rows.full(0)
 
 
 def _joined(some) -> tuple[np.ndarray, np.ndarray]:
@@ -269,12 +267,7 @@ def _next_level(step: int, owners: int):
                     rows.add(kind, chunk, chunk % (1 << 31), body)
             pos, key = _extended(*_joined(some), step)
             if len(pos):
-                owner = _owner(key, owners)
-                firsts, repeated = _settled(key, np.lexsort((key, owner)))
-                _survive(rows, chunk, pos[repeated], key[repeated])
-                sent, at = key[firsts], pos[firsts].astype("<u4")
-                _by_owner(rows, chunk, owner[firsts], lambda p, s=sent, a=at: pack(
-                    _differences(s[p]), a[p]))
+                _ask(rows, chunk, pos, key, owners)
             yield from rows.full()
         yield from rows.full(0)
 
@@ -296,8 +289,7 @@ def _last_level(step: int, owners: int):
             if len(pos):
                 doc = np.searchsorted(bases.astype(np.int64), pos, side="right") - 1
                 doc_id, start = doc_ids[doc], pos - bases[doc].astype(np.int64)
-                owner = _owner(key, owners)
-                order = np.lexsort((start, doc_id, key, owner))
+                order = np.lexsort((start, doc_id, key))
                 earliest = _earliest(key[order], doc_id[order], start[order])
                 later = np.sort(order[~earliest])
                 if len(later):
@@ -306,7 +298,8 @@ def _last_level(step: int, owners: int):
                 sent = order[earliest]
                 columns = (key[sent], pos[sent].astype("<u4"), doc_id[sent].astype("<i8"),
                            start[sent].astype("<u4"))
-                _by_owner(rows, chunk, owner[sent], lambda p, c=columns: pack(*[x[p] for x in c]))
+                _by_owner(rows, chunk, _owner(key[sent], owners),
+                          lambda p, c=columns: pack(*[x[p] for x in c]))
             yield from rows.full()
         yield from rows.full(0)
 
@@ -392,9 +385,10 @@ def repeated_windows(
         return df.repartition(parts, key).sortWithinPartitions(key, "chunk", "kind")
 
     first = rows.mapInArrow(_first_level(quarter, window, owners, chunk_words), ROW)
-    short = stage(dealt(first, "owner").mapInArrow(_answers(True), ROW), "windows")
-    second = dealt(short, "chunk").mapInArrow(_next_level(half - quarter, owners), ROW)
-    long = stage(dealt(second, "owner").mapInArrow(_answers(False), ROW), "windows")
+    with staging(docs.sparkSession) as keep:  # until the second level is written
+        short = keep(dealt(first, "owner").mapInArrow(_answers, ROW), "windows")
+        second = dealt(short, "chunk").mapInArrow(_next_level(half - quarter, owners), ROW)
+        long = stage(dealt(second, "owner").mapInArrow(_answers, ROW), "windows")
     last = dealt(long, "chunk").mapInArrow(_last_level(window - half, owners), ROW)
     settled = dealt(last, "owner").mapInArrow(_verdicts, ROW)
     return dealt(settled, "chunk").mapInArrow(_by_document, REPEAT_SCHEMA)
