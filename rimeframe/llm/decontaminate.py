@@ -16,9 +16,11 @@
 What leaves the tasks of step 1 is one FEATURES x RANK matrix each.  The benchmark is broadcast in
 slices of about ``ITEMS_AT_ONCE`` items, whatever its size.
 
-Defined cases: null and blank texts and items match nothing; of several places the best is given; a
-repeated document or item gives repeated rows or none more; an empty benchmark or an empty corpus
-gives no rows; other columns are kept by ``remove_leaks``.
+Defined cases: null and blank texts and items match nothing, nor do items of less than
+``LEAST_ITEM_WORDS`` words, which common phrases contain by chance; of several places the best is given;
+a repeated document gives repeated rows, an item repeated with its id none more; a null item_id or doc_id
+is given as null; rows without an id, or with one that other rows have, are told apart by their texts;
+an empty benchmark or an empty corpus gives no rows; other columns are kept by ``remove_leaks``.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PASSAGE = 16
@@ -383,6 +385,18 @@ HIT_ARROW = pa.schema([
 ])
 
 
+#: With the hash of the document's text, which tells rows of equal ids apart.
+FOUND_SCHEMA = HIT_SCHEMA + ", text_hash bigint"
+FOUND_ARROW = HIT_ARROW.append(pa.field("text_hash", pa.int64()))
+
+
+def _row_key(docs: DataFrame) -> list[Column]:
+    return [
+        docs["doc_id"].cast("bigint").alias("doc_id"),
+        F.xxhash64(docs["text"].cast("string")).alias("text_hash"),
+    ]
+
+
 def _search(docs: DataFrame, items: list[tuple[int, str]], space: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((items, space))  # bounded: see ITEMS_AT_ONCE
 
@@ -390,17 +404,15 @@ def _search(docs: DataFrame, items: list[tuple[int, str]], space: np.ndarray) ->
         searcher = Searcher(*shared.value)
 
         def finish(ids, texts):
-            rows = [(ids[d], *rest) for d, *rest in searcher.leaks(texts)]
-            columns = list(zip(*rows, strict=True)) or [()] * len(HIT_ARROW)
-            arrays = [pa.array(c, t) for c, t in zip(columns, HIT_ARROW.types, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, schema=HIT_ARROW)
+            rows = [(ids[d][0], *rest, ids[d][1]) for d, *rest in searcher.leaks(texts)]
+            columns = list(zip(*rows, strict=True)) or [()] * len(FOUND_ARROW)
+            arrays = [pa.array(c, t) for c, t in zip(columns, FOUND_ARROW.types, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, schema=FOUND_ARROW)
 
         for batch in batches:
             ids, texts, held = [], [], 0
-            for doc_id, text in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
-            ):
-                ids.append(doc_id)
+            for *key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                ids.append(key)
                 texts.append(folded(text))
                 held += len(texts[-1])
                 if held >= BYTES_AT_ONCE:
@@ -409,32 +421,38 @@ def _search(docs: DataFrame, items: list[tuple[int, str]], space: np.ndarray) ->
             if ids:
                 yield finish(ids, texts)
 
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string"))
-    return rows.mapInArrow(run, HIT_SCHEMA)
+    return docs.select(*_row_key(docs), docs["text"].cast("string")).mapInArrow(run, FOUND_SCHEMA)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per document and benchmark item that it contains."""
+    return _found(docs, benchmark).drop("text_hash")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     known = benchmark.select(
         benchmark["item_id"].cast("bigint").alias("item_id"), benchmark["text"].cast("string")
     ).filter("text is not null").distinct()
     count = known.count()
     space = latent_space(docs) if count else None
-    nothing = spark.createDataFrame([], HIT_SCHEMA)
+    nothing = spark.createDataFrame([], FOUND_SCHEMA)
     if space is None:
         return nothing
     slices = -(-count // ITEMS_AT_ONCE)
     found = []
     for k in range(slices):
         part = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
-        items = sorted(tuple(r) for r in part.orderBy("item_id", "text").collect())
+        items = [tuple(r) for r in part.orderBy("item_id", "text").collect()]
         if items:
             found.append(_search(docs, items, space))
     return functools.reduce(DataFrame.union, found, nothing) if len(found) > 1 else found[0]
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that contain a benchmark item."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked_id"]), "left_anti")
+    """``docs`` without the rows that contain a benchmark item; rows of the same id with other texts stay."""
+    leaked = _found(docs, benchmark).select(
+        F.col("doc_id").alias("leaked: doc_id"), F.col("text_hash").alias("leaked: text_hash")).distinct()
+    doc_id, text_hash = _row_key(docs)
+    same = doc_id.eqNullSafe(leaked["leaked: doc_id"]) & (text_hash == leaked["leaked: text_hash"])
+    return docs.join(leaked, same, "left_anti")
