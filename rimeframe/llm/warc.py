@@ -26,6 +26,7 @@ from rimeframe.llm.shared import folder_uri, open_for_reading, open_for_writing,
 CAPTURED = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_URN = "urn:x-page:"
+ROWS_AT_ONCE = 256
 
 INDEX_SCHEMA = """file string, offset bigint, length bigint, page_id bigint, url string,
     record_type string, payload_digest string"""
@@ -92,13 +93,20 @@ def _page_record(page_id, url, html: bytes, digest: str, refers_to) -> tuple[str
     return "response", _record("response", headers, head.encode() + b"\r\n\r\n" + html)
 
 
+def _slices(batches, rows: int = ROWS_AT_ONCE):
+    """Batches in pieces, so that few payloads are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def write_archives(pages: DataFrame, least_bytes: int = 100, roll_bytes: int = 1 << 28) -> DataFrame:
     """Write one record per page to ``.warc.gz`` files in the shared folder; return their index."""
     folder = folder_uri(pages.sparkSession, "warc")
 
     def write(batches):
         part, out, held, path, offset = TaskContext.get().partitionId(), None, None, "", 0
-        for batch in batches:
+        for batch in _slices(batches):
             columns = {k: [] for k in INDEX_ARROW.names}
             for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 page_id, url, html, digest, refers_to = row
