@@ -4,9 +4,9 @@ A text is cut into blocks of ``BLOCK_BYTES``, every block is compressed by itsel
 language's zstandard dictionary, and the language with the smallest total wins.  Blocks keep long
 texts under the influence of the dictionaries: without them a text soon becomes its own dictionary.
 
-The dictionaries hold a bounded sample of labelled rows: per language ``PIECES`` texts of at most
-``PIECE_CHARS`` characters each, those with the smallest hash of (doc_id, text).  Everything that is
-scored is scored whole.
+The dictionaries hold a bounded sample of whole labelled texts: per language different ones of smallest
+hash, up to ``TEXTS`` of them, as long as those before have less than ``CONTENT_CHARS`` characters; texts
+of more than ``LONG`` characters are taken only where there are no others.  Everything is scored whole.
 
 Case is folded on both sides.  Equal sizes go to the language with more labelled rows, then to the
 alphabetically first; such a text is rejected.
@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 4096
-PIECES = 96
-PIECE_CHARS = 1200
+TEXTS = 256
+CONTENT_CHARS = 120_000
+LONG = 4000
 #: Levels that search longer find the short matches that tell languages apart.
 LEVEL = 9
 #: Bytes by which a size may differ before odds change by a factor of e.
@@ -40,28 +41,34 @@ SALTS = 64
 LATIN = re.compile("[A-Za-z]")
 
 
-def training_pieces(labelled: DataFrame) -> DataFrame:
-    """(lang, text) of the sample: the first ``PIECES`` per language in order of a hash.
+def training_texts(labelled: DataFrame) -> DataFrame:
+    """(lang, text, n) of the sample, n counting from 1 in order of hash.
 
-    Ranks are taken within salts first, so that one language with most rows is no single task.
+    Texts are chosen by hash and size alone, copies as one, and ranked within salts first, so that one
+    language with most rows is no single task.  Only the chosen ones are read again as texts.
     """
     rows = labelled.filter("text is not null and lang is not null").select(
-        F.col("lang").cast("string").alias("lang"),
-        F.substring("text", 1, PIECE_CHARS).alias("text"),
-        F.xxhash64("doc_id", "text").alias("h"),
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
+        F.xxhash64("text").alias("h"),
     )
-    salted = Window.partitionBy("lang", F.pmod("h", F.lit(SALTS))).orderBy("h", "text")
-    final = Window.partitionBy("lang").orderBy("h", "text")
-    few = rows.withColumn("n", F.row_number().over(salted)).filter(F.col("n") <= PIECES)
-    return few.withColumn("n", F.row_number().over(final)).filter(F.col("n") <= PIECES)
+    sizes = rows.groupBy("lang", "h").agg(F.max(F.char_length("text")).alias("size"))
+    order = [F.col("size") > LONG, F.col("h")]
+    salted = Window.partitionBy("lang", F.pmod("h", F.lit(SALTS))).orderBy(*order)
+    final = Window.partitionBy("lang").orderBy(*order)
+    before = F.coalesce(F.sum("size").over(final.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    few = sizes.withColumn("n", F.row_number().over(salted)).filter(F.col("n") <= TEXTS)
+    few = few.withColumns({"n": F.row_number().over(final), "before": before})
+    chosen = few.filter((F.col("n") <= TEXTS) & (F.col("before") < CONTENT_CHARS)).select("lang", "h", "n")
+    found = rows.join(F.broadcast(chosen), ["lang", "h"])  # TEXTS rows a language at most
+    return found.groupBy("lang", "n").agg(F.min("text").alias("text"))
 
 
 def learn(labelled: DataFrame) -> dict[str, bytes]:
-    """Dictionary content by language, most frequent first, from columns doc_id, text and lang."""
+    """Dictionary content by language, most frequent first, from columns text and lang."""
     counts = labelled.filter("text is not null and lang is not null").groupBy("lang").count()
     ranked = counts.orderBy(F.desc("count"), "lang").collect()  # one row per language
     found: dict[str, list[str]] = {row["lang"]: [] for row in ranked}
-    for row in training_pieces(labelled).orderBy("lang", "n").collect():
+    for row in training_texts(labelled).orderBy("lang", "n").collect():
         found[row["lang"]].append(row["text"].lower())
     return {lang: "\n".join(dict.fromkeys(texts)).encode() for lang, texts in found.items()}
 
