@@ -8,7 +8,8 @@ of a whole text its marginal; their squares' sum and maximum give the document's
 regression, and tokens of one half or more are the offending spans.
 
 Fitting uses a bounded sample: per class the ``PER_CLASS`` labelled documents of smallest hash, and
-of these texts at most ``FIT_CHARS`` characters.  Scoring reads whole texts.
+of these whole texts, as long as those before have less than ``FIT_CHARS`` characters; texts of more than
+``LONG`` characters are taken only where others leave room.  Scoring reads whole texts.
 
 Long texts are cut into blocks of ``BLOCK`` tokens; the blocks' transfer matrices are multiplied
 along a text first, so blocks run side by side and the result is that of one long chain.
@@ -31,7 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PER_CLASS = 1500
-FIT_CHARS = 6000
+FIT_CHARS = 6_000_000
+LONG = 150_000
 BUCKETS = 1 << 20
 ROUNDS = 40
 STEP = 0.3
@@ -278,10 +280,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     chosen = F.broadcast(training_ids(labels))  # at most 2 * PER_CLASS rows
     rows = docs.select(
         docs["doc_id"].cast("bigint").alias("doc_id"),
-        F.substring(docs["text"].cast("string"), 1, FIT_CHARS).alias("text"),
+        docs["text"].cast("string").alias("text"),
     )
     found = rows.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    sample = found.orderBy("doc_id").collect()
+    sized = found.withColumn("size", F.coalesce(F.char_length("text"), F.lit(0)))
+    order = Window.partitionBy("toxic").orderBy(F.col("size") > LONG, F.xxhash64("doc_id"), "doc_id")
+    earlier = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    taken = sized.withColumn("before", F.coalesce(earlier, F.lit(0))).filter(F.col("before") < FIT_CHARS)
+    sample = taken.orderBy("doc_id").select("text", "toxic").collect()
     return fit([r["text"] or "" for r in sample], np.array([r["toxic"] for r in sample], dtype=int))
 
 
