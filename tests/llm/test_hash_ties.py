@@ -2,6 +2,7 @@
 
 import os
 import sys
+import time
 
 import numpy as np
 
@@ -9,7 +10,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from llm_helpers import by_id, documents  # noqa: E402
 
-from rimeframe.llm import decontaminate, sampling, substrings  # noqa: E402
+from rimeframe.llm import decontaminate, langid, sampling, secrets, substrings, toxicity  # noqa: E402
 
 
 def test_equal_ranks_go_by_hash():
@@ -69,3 +70,40 @@ def test_rows_without_id_are_told_apart(spark):
     left = decontaminate.remove_leaks(docs, benchmark)
     assert left.columns == docs.columns
     assert sorted((r["text"] or "") for r in left.collect()) == ["", clean, clean + " twice"]
+
+
+def test_a_marker_far_inside_a_text_is_learnt(spark):
+    """The fit reads whole texts: the only toxic word stands behind 6,000 characters."""
+    filler = [" ".join(f"word{(i * 7919 + k * 31) % 50_000}" for k in range(1000)) for i in range(60)]
+    texts = [f"{x} {'vileword' if i % 2 else 'calmword'} end" for i, x in enumerate(filler)]
+    assert min(map(len, texts)) > 6000
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    scores = by_id(toxicity.score(documents(spark, ["a vileword here", "a calmword here"]), model), "score")
+    assert scores[0][0] > scores[1][0]
+
+
+def test_language_samples_are_whole_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "CONTENT_CHARS", 50)
+    monkeypatch.setattr(langid, "LONG", 40)
+    texts = ["same text"] * 30 + [f"text number {i} of many" for i in range(20)] + ["long " * 20, None, "solo " * 30]
+    langs = ["a"] * 51 + ["a", "b"]
+    docs = documents(spark, texts, langs=langs)
+    rows = langid.training_texts(docs).collect()
+    own = [r["text"] for r in rows if r["lang"] == "a"]
+    assert len(set(own)) == len(own) and set(own) <= set(texts) and "long " * 20 not in own
+    assert 50 <= sum(map(len, own)) < 50 + 40
+    assert [r["text"] for r in rows if r["lang"] == "b"] == ["solo " * 30]
+
+
+def test_redaction_of_many_spans(spark):
+    """Time grows with the text and its spans, not with their product; other characters stay in place."""
+    text = "é日 " + " ".join(f"token=abcdef{i} 😀" for i in range(20_000)) + " tail"
+    docs = documents(spark, [text, "none é", None, "token=abcdefg token=abcdefg"])
+    secrets.redact(docs.limit(1)).collect()
+    began = time.time()
+    out = by_id(secrets.redact(docs), "text")
+    assert time.time() - began < 20
+    assert out[0][0] == "é日 " + " ".join(["[SECRET] 😀"] * 20_000) + " tail"
+    assert (out[1][0], out[2][0], out[3][0]) == ("none é", None, "[SECRET] [SECRET]")
