@@ -30,6 +30,7 @@ MADE_AT_ONCE = 1 << 12
 CHARS_AT_ONCE = 1 << 19
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+LOW_BITS = np.uint64((1 << 23) - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -39,6 +40,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _uniform(bits: np.ndarray) -> np.ndarray:
+    """Numbers of 23 bits to the middles of as many parts of (0, 1), which single precision holds exactly."""
+    return (bits.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-23)
+
+
 class Sampler:
     def __init__(self, samples: int = SAMPLES):
         self.samples = samples
@@ -58,13 +64,15 @@ class Sampler:
             hashes = np.array([xxhash.xxh64_intdigest(w) for w in some], dtype=np.uint64)
             at = len(self.rows)
             to = slice(at, at + len(some))
-            steps = np.arange(1, 5 * self.samples + 1, dtype=np.uint64) * GOLDEN
-            draws = _mixed(hashes[:, None] + steps[None, :]) >> np.uint64(11)
-            u = (draws.astype(np.float64) + 0.5) * 2.0**-53
-            u = u.reshape(len(some), 5, self.samples)
-            self.r[to] = -np.log(u[:, 0] * u[:, 1])
-            self.ln_c[to] = np.log(-np.log(u[:, 2] * u[:, 3]))
-            self.b[to] = u[:, 4]
+            steps = np.arange(1, 2 * self.samples + 1, dtype=np.uint64) * GOLDEN
+            draws = _mixed(hashes[:, None] + steps[None, :]).reshape(len(some), 2, self.samples)
+            (one, two), (three, four) = (
+                (_uniform(x >> np.uint64(41)), _uniform((x >> np.uint64(18)) & LOW_BITS))
+                for x in (draws[:, 0], draws[:, 1])
+            )
+            self.r[to] = -np.log(one * two)
+            self.ln_c[to] = np.log(-np.log(three * four))
+            self.b[to] = (draws[:, 0] & np.uint64((1 << 18) - 1)).astype(np.float32) * np.float32(2.0**-18)
             self.once[to] = self.ln_c[to] - self.r[to] * (1 - self.b[to])
             self.hashes[to] = hashes
             self.rows.update(zip(some, range(at, at + len(some)), strict=True))
