@@ -4,6 +4,7 @@ from rimeframe.catalog import (  # noqa: F401  (importing registers the queries)
     analysis_queries,
     evaluation_queries,
     gold_queries,
+    inventory_queries,
     model_queries,
     neighbour_queries,
     silver_queries,

@@ -12,6 +12,7 @@ from rimeframe.functions import climate
 from rimeframe.operators import bronze, silver
 from rimeframe.operators import evaluation as ev
 from rimeframe.operators import modelling as ml
+from rimeframe.plans.training import SUMMARY_SCHEMA, train_frost_model
 from rimeframe.sources import fixed_width as fw
 from rimeframe.sources import layers, readings
 from rimeframe.storage import fresh_path
@@ -293,6 +294,21 @@ def s14(spark, folder):
     return spark.read.schema("model STRING, test_year INT, n_test BIGINT, accuracy DOUBLE").json(path)
 
 
+@query("s14_training_record")
+def s14_record(spark, folder):
+    """The whole record of a tuned training job, read back from its file."""
+    gold_path, path = fresh_path(spark, "gold"), fresh_path(spark, "record")
+    layers.write_years(data.gold_days(spark, folder), gold_path)
+    gold = layers.read_layer(spark, gold_path)
+    train_frost_model(spark, gold, fresh_path(spark, "model"), path, data.TEST_YEAR, "lr", tuned=True, parallelism=4)
+    return spark.read.schema(SUMMARY_SCHEMA).json(path).select(
+        "algorithm", "test_year", "sample_fraction", "n_train", "n_test", "tuning.cv_folds",
+        "tuning.param_grid_size", "tuning.metric", "tuning.best_cv_score",
+        F.to_json("tuning.best_params").alias("best_params"), F.size("tuning.all_cv_scores").alias("n_scores"),
+        F.map_entries("metrics").alias("metrics"), F.to_json("confusion").alias("confusion"),
+        F.size("top_features").alias("n_features"))
+
+
 @query("s15_sample_export", oracle(
     f"select {columns('id date tmin_c~ next_day_is_frost?')} from labels_ahead where "
     "cast(('0x' || substr(md5(concat_ws('|', '7', id, cast(date as varchar))), 1, 8)) as bigint) "
