@@ -56,10 +56,12 @@ ITEMS_AT_ONCE = 2048
 BYTES_AT_ONCE = 900_000
 ROWS_AT_ONCE = 2048
 BLOCKS = 64
+MANY_ENTRIES = 48
 
 OUTER = b".,;:!?\"'()[]{}<>*#$%&|-_~`"
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def normal(word: bytes) -> bytes:
     return word.translate(None, OUTER)
 
@@ -135,31 +137,54 @@ def test_matrix() -> np.ndarray:
     return np.random.RandomState(SEED).randn(FEATURES, RANK + OVERSAMPLE).astype(np.float32)
 
 
+def _add_rows(total: np.ndarray, row: np.ndarray, product: np.ndarray, place: np.ndarray) -> None:
+    """total[row] += product[place] for sorted, repeated rows.
+
+    Rows with many entries are summed one by one, all others side by side, an entry of each at a time.
+    """
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    counts = np.diff(np.append(starts, len(row)))
+    for at in np.flatnonzero(counts > MANY_ENTRIES).tolist():
+        begin = starts[at]
+        total[row[begin]] += product[place[begin : begin + counts[at]]].sum(axis=0)
+    few = counts <= MANY_ENTRIES
+    starts, counts = starts[few], counts[few]
+    sums = np.zeros((len(starts), product.shape[1]), np.float32)
+    order = np.argsort(-counts, kind="stable")
+    starts, counts = starts[order], counts[order]
+    for k in range(int(counts[0]) if len(counts) else 0):
+        n = int(np.searchsorted(-counts, -k, side="left"))  # those with more than k entries
+        sums[:n] += product[place[starts[:n] + k]]
+    total[row[starts]] += sums
+
+
 def _gathered(batches):
     """Passages' counts of features: those of a passage in one piece of a text, without overlap."""
-    omega = test_matrix()
+    omega = np.concatenate((test_matrix(), np.zeros((1, RANK + OVERSAMPLE), np.float32)))
     total = np.zeros((FEATURES, RANK + OVERSAMPLE + 1), dtype=np.float64)
     passages, waiting, size = 0, [], 0
 
     def add():
         nonlocal passages
         held = features_of(waiting)
-        where, base = [], 0
-        for f in held:
-            where.append(base + np.arange(len(f)) // PASSAGE)
-            base += -(-len(f) // PASSAGE)
-        features, where = np.concatenate(held), np.concatenate(where)
-        if len(features) == 0:
+        counts = np.array([-(-len(f) // PASSAGE) for f in held], dtype=np.int64)
+        begins = (np.cumsum(counts) - counts) * PASSAGE
+        flat = np.full(int(counts.sum()) * PASSAGE, FEATURES, dtype=np.int64)
+        for begin, f in zip(begins.tolist(), held, strict=True):
+            flat[begin : begin + len(f)] = f
+        if len(flat) == 0:
             return
-        begins = np.flatnonzero(np.diff(where, prepend=-1))
-        product = np.add.reduceat(omega[features], begins, axis=0)
-        keys = np.sort((features << 32) | where)
+        words = flat.reshape(-1, PASSAGE)
+        product = omega[words[:, 0]]
+        for j in range(1, PASSAGE):
+            product += omega[words[:, j]]
+        real = np.flatnonzero(flat < FEATURES)
+        keys = np.sort((flat[real] << 32) | (real // PASSAGE))
         row, place = keys >> 32, keys & 0xFFFFFFFF
-        starts = np.flatnonzero(np.diff(row, prepend=-1))
-        total[row[starts], :-1] += np.add.reduceat(product[place], starts, axis=0)
+        _add_rows(total[:, :-1], row, product, place)
         once = np.concatenate(([True], keys[1:] != keys[:-1]))
         total[:, -1] += np.bincount(row[once], minlength=FEATURES)
-        passages += base
+        passages += len(words)
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
@@ -273,6 +298,16 @@ class Windows:
         self.limits = (LEAST_COSINE * np.sqrt(self.sizes / length)).astype(np.float32)
         at = np.where(self.windows < 0, FEATURES, self.windows)
         self.queries = np.ascontiguousarray(_unit(self.space[at].sum(axis=1)).T)
+        #: Words of any window, and how many of them a passage needs to share enough with some window.
+        self.known = np.zeros(FEATURES + 1, dtype=bool)
+        self.known[self.windows[self.windows >= 0]] = True
+        self.least_known = min(map(self._least_different, self.windows), default=0)
+
+    def _least_different(self, window: np.ndarray) -> int:
+        """How many different words make up the wanted part of a window, taking its most repeated first."""
+        own = window[window >= 0]
+        repeats = np.sort(np.unique(own, return_counts=True)[1])[::-1]
+        return int(np.searchsorted(np.cumsum(repeats), LEAST_COMMON * len(own))) + 1
 
     def candidates(self, features: list[np.ndarray]):
         """Arrays of (document, item, begin of the passage, cosine)."""
@@ -283,15 +318,28 @@ class Windows:
         for b, f in zip(base.tolist(), features, strict=True):
             flat[b : b + len(f)] = f
         rows = flat.reshape(-1, stride)
-        pieces = self.space[flat].reshape(-1, stride, self.space.shape[1]).sum(axis=1)
-        marks = np.bitwise_or.reduce(np.uint64(1) << (rows & 63).astype(np.uint64), axis=1)
         doc = np.repeat(np.arange(len(features)), counts)
-        first, found = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :]), []
+        first = np.flatnonzero(doc[: len(doc) - n + 1] == doc[n - 1 :])
+        shared = np.cumsum(np.concatenate(([0], self.known[flat].reshape(-1, stride).sum(axis=1))))
+        first = first[shared[first + n] - shared[first] >= self.least_known]
+        used = np.zeros(len(rows) + n, dtype=bool)
+        for k in range(n):
+            used[first + k] = True
+        used = np.flatnonzero(used[: len(rows)])
+        place = np.zeros(len(rows), dtype=np.int64)
+        place[used] = np.arange(len(used))
+        some_rows = rows[used]
+        pieces = self.space[some_rows[:, 0]]
+        marks = np.uint64(1) << (some_rows[:, 0] & 63).astype(np.uint64)
+        for j in range(1, stride):
+            pieces += self.space[some_rows[:, j]]
+            marks |= np.uint64(1) << (some_rows[:, j] & 63).astype(np.uint64)
+        found = []
         for lo in range(0, len(first), ROWS_AT_ONCE):
             some = first[lo : lo + ROWS_AT_ONCE]
-            passages, held = pieces[some], marks[some]
+            passages, held = pieces[place[some]], marks[place[some]]
             for k in range(1, n):
-                passages, held = passages + pieces[some + k], held | marks[some + k]
+                passages, held = passages + pieces[place[some + k]], held | marks[place[some + k]]
             likeness = _unit(passages) @ self.queries
             p, q = np.divmod(np.flatnonzero((likeness >= self.limits).ravel()), likeness.shape[1])
             for cut in range(0, len(p), ROWS_AT_ONCE):
