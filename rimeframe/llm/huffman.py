@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimeframe.llm.shared import folder_uri, open_for_reading, open_for_writing, packed_stage, stage
-from rimeframe.llm.tokens import id_counts, token_ids
+from rimeframe.llm.tokens import id_counts, id_type, token_ids
 
 MAGIC = b"IDHUFF01"
 LONGEST = 18
@@ -182,9 +182,9 @@ def _file_writer(folder: str, lengths: np.ndarray, dtype: str):
     return run
 
 
-def write_files(docs: DataFrame, path: str, dtype: str = "<u2") -> DataFrame:
+def write_files(docs: DataFrame, path: str) -> DataFrame:
     """Encode whole texts and write them in ascending doc_id order; one row per file."""
-    spark = docs.sparkSession
+    spark, dtype = docs.sparkSession, id_type(path)
     tokens = packed_stage(token_ids(docs, path), "token-ids")
     counted = id_counts(tokens, dtype).collect()  # at most one row per id of the vocabulary
     counts = np.zeros(max([row["id"] for row in counted], default=0) + 1, dtype=np.int64)

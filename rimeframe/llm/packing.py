@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rimeframe.llm.shared import packed_stage
-from rimeframe.llm.tokens import id_counts, token_ids
+from rimeframe.llm.tokens import id_counts, id_type, token_ids
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 19
@@ -161,9 +161,9 @@ def _packer(idf: np.ndarray, mean_length: float, dtype: str):
     return run
 
 
-def pack(docs: DataFrame, path: str, dtype: str = "<u2") -> DataFrame:
+def pack(docs: DataFrame, path: str) -> DataFrame:
     """One row per piece: its document, place in it, checksum, sequence and offset there."""
-    spark = docs.sparkSession
+    spark, dtype = docs.sparkSession, id_type(path)
     tokens = packed_stage(token_ids(docs, path, with_sketch=True), "token-ids")
     totals = tokens.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col("n_tokens") % WINDOW).alias("mean")).first()

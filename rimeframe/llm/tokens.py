@@ -39,6 +39,11 @@ def encoder(path: str) -> "Encoder":
     return Encoder(path)
 
 
+def id_type(path: str) -> str:
+    """The array type of packed ids, by the size of the tokenizer's vocabulary."""
+    return f"<u{encoder(path).width}"
+
+
 class Encoder:
     """Text to ids, as bytes of unsigned little-endian integers of ``width`` bytes."""
 
