@@ -166,6 +166,40 @@ def scan(docs: DataFrame) -> DataFrame:
     return found.select("doc.doc_id", "spans")
 
 
+def linked_parts(docs: DataFrame) -> DataFrame:
+    """doc_id, and spans (start, kind, end) of a secret with its identifier and endpoint.
+
+    A row for each secret part (an assigned value, a hex string or a mixed token) that has an identifier
+    (an access key id or a name) or an endpoint within ``REACH`` characters of its scope: the nearest of
+    each, the one before it if both sides are as near, NULL if there is none.
+    """
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(docs["doc_id"]).alias("doc"),
+        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("body"),
+    )
+    placed = _placed(rows)
+    spans = placed.join(_linked(placed).select("row", "kind", "start"), ["row", "kind", "start"], "left_semi")
+    forward = Window.partitionBy("row", "scope").orderBy("start", "kind")
+    backward = Window.partitionBy("row", "scope").orderBy(F.desc("start"), F.desc("kind"))
+    earlier, later = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (forward, backward))
+    here = F.struct("start", "kind", "end")
+
+    def nearest(*kinds: int) -> Column:
+        wanted = F.col("kind").isin(*kinds)
+        left = F.max(F.when(wanted, F.struct("end", here.alias("part")))).over(earlier)
+        right = F.min(F.when(wanted, F.struct("start", here.alias("part")))).over(later)
+        before = F.when(left.isNotNull(), F.greatest(F.col("start") - left["end"], F.lit(0)))
+        behind = F.when(right.isNotNull(), F.greatest(right["start"] - F.col("end"), F.lit(0)))
+        first = before <= F.least(F.coalesce(behind, before), F.lit(REACH))
+        return F.when(F.coalesce(first, F.lit(False)), left["part"]).when(behind <= REACH, right["part"])
+
+    linked = spans.withColumns({"identifier": nearest(1, 3), "endpoint": nearest(5)}).filter(
+        F.col("kind").isin(0, 2, 4) & (F.col("identifier").isNotNull() | F.col("endpoint").isNotNull()))
+    owners = placed.filter(F.col("kind") == DOCUMENT).select("row", "doc.doc_id")
+    return owners.join(linked.select("row", here.alias("secret"), "identifier", "endpoint"), "row").drop("row")
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:end, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
