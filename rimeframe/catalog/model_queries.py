@@ -120,12 +120,8 @@ _SCALED = ("day_of_year", "month", "gdd_corn_day")
 
 @query("m4_standard_scaler", oracle(
     f"select {columns('id date')}, " + ", ".join(
-        r6(f"{f} / {f}_spread", f"{f}_scaled") for f in _SCALED
-    ) + " from scaled cross join spreads", "gold").replace(
-        "\nselect", ", scaled as materialized (select id, date, " + ", ".join(_SCALED)
-        + " from gold where gdd_corn_day is not null), spreads as materialized (select "
-        + ", ".join(f"stddev_samp({f}) as {f}_spread" for f in _SCALED)
-        + " from scaled)\nselect", 1))
+        r6(f"{f} / stddev_samp({f}) over ()", f"{f}_scaled") for f in _SCALED
+    ) + " from gold where gdd_corn_day is not null", "gold"))
 def m4(spark, folder):
     """Division by the standard deviation, without centring."""
     days = data.gold_days(spark, folder).filter(F.col("gdd_corn_day").isNotNull())
