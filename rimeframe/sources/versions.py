@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 LOAD = "load"
 PARTITIONS = "partitions"
-#: No rows, with the columns of the layer: what is read as long as no load has any.
+#: No rows, with the columns of the version, which other loads may not have.
 EMPTY = "empty"
 
 
@@ -94,9 +94,10 @@ def read_live(spark: SparkSession, path: str, by: Sequence[str], number: int | N
     The list of partitions has no hint: below the broadcast threshold Spark also prunes folders with it.
     """
     live = table(spark, path, PARTITIONS, number).select(*by, LOAD)
-    rows = _stored(spark, path)
-    if rows is None:
-        return table(spark, path, EMPTY, number).drop(LOAD)
+    empty = table(spark, path, EMPTY, number)
+    if _stored(spark, path) is None:
+        return empty.drop(LOAD)
+    rows = spark.read.schema(empty.schema).parquet(data_path(path)).select(*empty.columns)
     return rows.join(live, [*by, LOAD], "left_semi").drop(LOAD)
 
 

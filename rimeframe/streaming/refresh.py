@@ -61,12 +61,13 @@ def station_year_digests(silver: DataFrame) -> DataFrame:
 def year_listing(spark: SparkSession, silver_path: str) -> DataFrame:
     """year and a digest of names, times and sizes of its files; contents are not read."""
     year = F.regexp_extract("path", r"/year=(-?\d+)/", 1)
+    name = F.regexp_extract("path", r"(/year=-?\d+/.*)$", 1)  # a layer may be moved as a whole
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet").load(silver_path)
         .filter(year != "")
         .groupBy(year.cast("int").alias("year"))
-        .agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("files"),
+        .agg(F.bit_xor(F.xxhash64(name, "modificationTime", "length")).alias("files"),
              F.sum("length").alias("bytes"))
     )
 
