@@ -3,8 +3,9 @@
 A text is a bag of words (ASCII case folded) weighted by their counts.  For each of ``SAMPLES``
 draws a word gets r and c from Gamma(2, 1) and b from [0, 1), all by hashing the word; with weight w
 its rank is ln c - r (t - b + 1) where t = floor(ln w / r + b).  The word of least rank and its t are
-the sample, kept as 16 bits; of words with equal ranks that of smaller hash counts.  Two texts agree in a sample with the probability of their generalised
-Jaccard similarity, sum of minima over sum of maxima of the weights (and 1 in 65,536 by chance).
+the sample, kept as 16 bits; of words with equal ranks that of smaller hash counts.  Two texts agree
+in a sample with the probability of their generalised Jaccard similarity, sum of minima over sum of
+maxima of the weights (and 1 in 65,536 by chance).
 
 Defined cases: a text without words (null, empty, blank) has the fingerprint of no sample, equal to
 other such texts only; repeated doc_ids follow each other in order of their text; a null doc_id

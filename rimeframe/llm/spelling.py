@@ -227,7 +227,8 @@ def near_pairs(counted: DataFrame, crowded: int = CROWDED) -> DataFrame:
     def run(batches):
         for rows in _whole_buckets(batches):
             for i, j in rows.pairs():
-                yield pa.RecordBatch.from_arrays([rows.words.take(pa.array(i)), rows.words.take(pa.array(j))], ["a", "b"])
+                both = [rows.words.take(pa.array(x)) for x in (i, j)]
+                yield pa.RecordBatch.from_arrays(both, ["a", "b"])
 
     return _by_bucket(counted, crowded).mapInArrow(run, "a string, b string")
 

@@ -222,7 +222,10 @@ def chunks(kept: DataFrame, size: int) -> DataFrame:
 
     names = ["ids", "labels", "n", "width", "places", "points", "boxes"]
     kind = kept.schema["label"].dataType.simpleString()
-    schema = f"ids array<bigint>, labels array<{kind}>, n bigint, width bigint, places binary, points binary, boxes binary"
+    schema = (
+        f"ids array<bigint>, labels array<{kind}>, n bigint, width bigint, places binary, points binary, "
+        "boxes binary"
+    )
     rows = kept.filter(F.size("vector") == size).select("vec_id", "label", "vector")
     return rows.mapInArrow(run, schema)
 
