@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 END_OF_TEXT = 1
 #: Bytes of pieces and ids that the memo of a task may hold.
-MEMO_BYTES = 256 << 20
+MEMO_BYTES = 128 << 20
 ENTRY_BYTES = 160
 PIECES_AT_ONCE = 512
 #: Characters of text whose new pieces are encoded together.
