@@ -2,6 +2,8 @@ import json
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from rimeframe import fixed_values as fv
@@ -109,6 +111,41 @@ def test_tuning_with_year_folds(spark, parts):
     assert len(scores) == 2 and sum(r.is_best for r in scores) == 1
 
 
+def test_preparation_is_fitted_once_a_fold(spark, parts, monkeypatch):
+    fits = []
+    plain = ml.MedianImputer._fit
+    monkeypatch.setattr(ml.MedianImputer, "_fit", lambda self, rows: fits.append(1) or plain(self, rows))
+    choices = {"regParam": [0.0, 0.1], "maxIter": [2]}
+    tuned = ml.tune(parts[0], "lr", choices=choices, parallelism=2)
+    assert len(fits) == fv.TUNING_FOLDS + 1  # and once for the best model
+    pipeline = ml.frost_pipeline("lr")
+    validator = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=ml.parameter_grid("lr", pipeline.getStages()[-1], choices),
+        evaluator=BinaryClassificationEvaluator(labelCol=fv.LABEL), numFolds=fv.TUNING_FOLDS, seed=fv.SEED)
+    wanted = validator.fit(parts[0])
+    assert tuned.avgMetrics == pytest.approx(wanted.avgMetrics, abs=1e-9)
+    assert tuned.stdMetrics == pytest.approx(wanted.stdMetrics, abs=1e-9)
+    fits.clear()
+    last = pipeline.getStages()[-1]
+    grid = {str(v): {last.regParam: v, last.maxIter: 2} for v in (0.0, 0.1)}
+    found = ml.grid_scores(*parts, pipeline, grid, parallelism=2)
+    assert len(fits) == 1
+    for name, params in grid.items():
+        assert found[name] == pytest.approx(ml.fit_and_judge(*parts, pipeline.copy(params)), abs=1e-9)
+
+
+def test_folds_without_rows_are_errors(spark, parts):
+    for fold in (F.lit(0), F.lit(3), F.lit(None).cast("int")):
+        with pytest.raises(ValueError):
+            ml.tune(parts[0].withColumn("fold", fold), "lr", fold_column="fold", maxIter=1)
+
+
+def test_feature_without_known_values(spark):
+    rows = spark.createDataFrame([(1.0, None), (3.0, float("nan")), (None, None)], "a DOUBLE, b DOUBLE")
+    model = ml.median_imputer(["a", "b"]).fit(rows)
+    assert {(r.a__imp, r.b__imp) for r in model.transform(rows).collect()} == {(1.0, 0.0), (3.0, 0.0)}
+
+
 def test_training_job_writes_model_and_metrics(spark, gold, tmp_path):
     summary = train_frost_model(
         spark, gold, str(tmp_path / "model"), str(tmp_path / "metrics"), adapters.TEST_YEAR,
