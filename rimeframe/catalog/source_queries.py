@@ -24,11 +24,27 @@ LONG_SQL = oracle(f"select {columns(LONG)} from bronze", "bronze")
 LONG_NAMES = LONG.split()
 
 
+#: Line items, of up to five readings each, beyond which a year is cut into one more file.
+ITEMS_PER_SLICE = 16_000_000
+
+
+def by_year(raw, folder, parts, per_slice=ITEMS_PER_SLICE):
+    """The rows in ``parts`` partitions of whole years, on larger tables in as many for each slice of the years.
+
+    So no writer gets more than a slice of a year, or of the few years that share a partition.
+    """
+    year = F.substring("date_raw", 1, 4)
+    slices = 1 + data.table(raw.sparkSession, folder, "lineitem").count() // per_slice
+    if slices == 1:
+        return raw.repartition(parts, year)
+    part = year.try_cast("int") * slices + F.pmod(F.xxhash64("id", "date_raw"), F.lit(slices)).cast("int")
+    return raw.repartitionById(parts * slices, F.coalesce(F.pmod(part, F.lit(parts * slices)), F.lit(0)).cast("int"))
+
+
 def landed_csv(spark, folder, name="landing"):
-    """All readings as headerless CSV, about one year per file."""
+    """All readings as headerless CSV, about one year per file; years of larger tables in several."""
     path = fresh_path(spark, name)
-    raw = data.raw_readings(spark, folder)
-    raw.repartition(8, F.substring("date_raw", 1, 4)).write.csv(path)
+    by_year(data.raw_readings(spark, folder), folder, 8).write.csv(path)
     return path
 
 
@@ -344,7 +360,7 @@ def t1_correction(spark, folder):
     raised = data.raw_readings(spark, folder).filter(F.col("element") == "TMIN").withColumn(
         "value", (F.col("value").cast("int") + 10).cast("string")
     )
-    raised.write.mode("append").csv(landing)
+    by_year(raised, folder, 8).write.mode("append").csv(landing)
     ingest_landed(spark, landing, target, checkpoint, files_per_batch=8)
     long = layers.read_layer(spark, target)
     wide = silver.to_si(silver.widen(long))
@@ -358,10 +374,7 @@ def t1_same_names(spark, folder):
     raw = data.raw_readings(spark, folder)
     half = F.pmod(F.crc32("id"), F.lit(2))
     for part in (0, 1):
-        (
-            raw.filter(half == part).repartition(4, F.substring("date_raw", 1, 4))
-            .write.csv(f"{landing}/part{part}/2000.csv")
-        )
+        by_year(raw.filter(half == part), folder, 4).write.csv(f"{landing}/part{part}/2000.csv")
     ingest_landed(spark, f"{landing}/*/*", target, fresh_path(spark, "checkpoint"),
                   tuple(fv.ELEMENTS))
     return layers.read_layer(spark, target).select(*LONG_NAMES)
