@@ -7,6 +7,7 @@ from rimeframe.catalog.registry import query
 from rimeframe.catalog.sql import day, oracle, r6
 from rimeframe.functions.space import EARTH_RADIUS_KM
 from rimeframe.operators import neighbours
+from rimeframe.storage import stage
 
 K = 5
 
@@ -39,6 +40,6 @@ def nearest(spark, folder):
       with nearest as ({NEAREST}) {MEANS}) m on m.id = s.id and m.date = s.date""", "silver"))
 def day_means(spark, folder):
     """Means of the nearest stations' minima, weighted by inverse squared distance."""
-    days = data.silver_days(spark, folder)
+    days = stage(data.silver_days(spark, folder).select("id", "date", "tmin_c"), "days")
     return neighbours.with_neighbours(days, data.stations(spark, folder), K).select(
         "id", "date", "near_mean", "near_n", "near_km", "tmin_c_minus_near")
