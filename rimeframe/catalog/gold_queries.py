@@ -177,12 +177,12 @@ def t2_refreshed(spark, folder):
     """Gold built once, then brought up to date after some stations' readings were corrected or withdrawn."""
     silver_path, target = fresh_path(spark, "silver"), fresh_path(spark, "gold")
     bronze, stations = data.bronze_readings(spark, folder), data.stations(spark, folder)
-    write_years(silver.to_silver(bronze, stations), silver_path, sort_by=KEY)
+    write_years(silver.to_silver(bronze, stations), silver_path, sort_by=KEY, in_place=True)
     refresh_gold(spark, silver_path, target)
     raised = (F.col("element") == "TMIN") & (F.col("year") == 1998) & F.col("id").endswith("7")
     withdrawn = F.col("id").endswith("3") & (F.col("year") == 1999)
     edited = bronze.filter(F.col("year").isin(1998, 1999) & ~withdrawn).withColumn(
         "value", F.when(raised, F.col("value") + 10).otherwise(F.col("value")))
-    write_years(silver.to_silver(edited, stations), silver_path, sort_by=KEY)
+    write_years(silver.to_silver(edited, stations), silver_path, sort_by=KEY, in_place=True)
     refresh_gold(spark, silver_path, target)
     return read_gold(spark, target).select(*names(GOLD_LIST))

@@ -19,14 +19,18 @@ def write_years(
     path: str,
     by: Sequence[str] = ("year",),
     sort_by: Sequence[str] = (),
+    in_place: bool = False,
 ) -> None:
     """Replace exactly the partitions present in ``df``.
 
     The rebalance hint lets AQE cut a year that holds most of the rows into several writers and
     merge small years, where a plain repartition by year would give one task per year.
     ``sort_by`` clusters each file, which makes row-group statistics useful for station lookups.
+
+    ``in_place`` leaves out that shuffle of whole rows, for rows that an earlier one has dealt by station or
+    cell: every task then writes a file for each year that it has.
     """
-    rows = df.hint("rebalance", *by)
+    rows = df if in_place else df.hint("rebalance", *by)
     if sort_by:
         rows = rows.sortWithinPartitions(*by, *sort_by)
     (

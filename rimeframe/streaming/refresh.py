@@ -236,7 +236,7 @@ def refresh_gold(
             old_rows = versions.read_live(spark, target, BY, before).filter(F.col("year").isin(touched))
             rows = old_rows.join(affected, ["id", "year"], "left_anti").unionByName(new)
             write_years(rows.withColumn(versions.LOAD, F.lit(load)), versions.data_path(target),
-                        by=(*BY, versions.LOAD), sort_by=("id", "date"))
+                        by=(*BY, versions.LOAD), sort_by=("id", "date"), in_place=True)
             mine = versions.filled(spark, target, BY, spark.createDataFrame([(load,)], f"{versions.LOAD} string"))
             partitions = partitions.filter(~F.col("year").isin(touched)).unionByName(mine)
         number = versions.commit(spark, target, before, {**tables, versions.PARTITIONS: partitions})
@@ -259,7 +259,8 @@ def _commit_full(
         listing = stage(year_listing(spark, silver_path), "listing")
         digests = stage(station_year_digests(silver), "digests")
         rows = g.to_gold(silver, index, min_days).withColumn(versions.LOAD, F.lit(load))
-        write_years(rows, versions.data_path(target), by=(*BY, versions.LOAD), sort_by=("id", "date"))
+        write_years(
+            rows, versions.data_path(target), by=(*BY, versions.LOAD), sort_by=("id", "date"), in_place=True)
         mine = versions.filled(spark, target, BY, spark.createDataFrame([(load,)], f"{versions.LOAD} string"))
         number = versions.commit(spark, target, before, {
             DIGESTS: digests, LISTING: listing, CLIMATE: _climate(spark, index), "settings": settings,

@@ -212,3 +212,34 @@ def test_within_reach(spark):
     found = {r.year for r in refresh.within_reach(years, "hit", 28, 1).collect()}
     assert found == {2001, 2002, 2003, 2004}
     assert refresh.within_reach(years.filter(F.lit(False)), "hit", 1, 1).count() == 0
+
+
+def test_gold_is_written_where_its_rows_lie(spark, tmp_path, monkeypatch):
+    """Neither the first build nor a later one moves whole gold rows to other tasks before writing them."""
+    plans = []
+
+    def spied(rows, path, by=("year",), sort_by=(), in_place=False):
+        plans.append(in_place)
+        write_years(rows, path, by=by, sort_by=sort_by, in_place=in_place)
+
+    monkeypatch.setattr(refresh, "write_years", spied)
+    lake = Lake(spark, tmp_path)
+    lake.put({2018, 2019, 2020, 2021})
+    lake.refresh()
+    lake.change("a", date(2020, 3, 3), tmin=-2.5)
+    lake.refresh()
+    assert plans == [True, True]
+    lake.check()
+
+
+def test_rows_in_place_give_a_file_for_each_task_and_year(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 4).selectExpr("id", "cast(2000 + id % 2 as int) as year").repartition(4, "id")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as many tasks as asked for
+    try:
+        write_years(rows, f"{tmp_path}/kept", sort_by=("id",), in_place=True)
+        tasks = rows.selectExpr("spark_partition_id() as task", "year").distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(list(tmp_path.glob("kept/year=*/*.parquet"))) == len(tasks)
+    assert rows_of(spark.read.parquet(f"{tmp_path}/kept").select("id", "year")) == rows_of(rows)
