@@ -1,7 +1,13 @@
 import random
 
 import pytest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator,
+    MulticlassClassificationEvaluator,
+    RegressionEvaluator,
+)
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from rimeframe.functions.sampling import hash_sampled
@@ -88,6 +94,31 @@ def test_sweep_and_curve_against_brute_force(spark):
         assert row.tp == sum(min(int(p * 50), 49) >= row.bin and y == 1 for p, y in pairs)
 
 
+def test_areas_equal_the_evaluator_from_one_sort_of_the_scores(spark):
+    """Both areas come from the same sorted counts, and only numbers are kept, no vectors."""
+    rng = random.Random(11)
+    raw = [(round(rng.gauss(0, 1), 1), float(rng.random() < 0.4)) for _ in range(300)]
+    rows = [(y, float(s > 0), Vectors.dense(-s, s)) for s, y in raw]
+    df = spark.createDataFrame(rows, ["label", "prediction", "rawPrediction"])
+    theirs = BinaryClassificationEvaluator(labelCol="label")
+    numbers = df.withColumn("raw", vector_to_array("rawPrediction")[1]).drop("rawPrediction")
+    context = spark.sparkContext
+
+    def jobs_of(name, work):
+        context.setJobGroup(name, name)
+        try:
+            return work(), len(context.statusTracker().getJobIdsForGroup(name))
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+
+    wanted, two = jobs_of("two evaluators", lambda: {
+        "roc_auc": theirs.evaluate(df), "pr_auc": theirs.evaluate(df, {theirs.metricName: "areaUnderPR"})})
+    got, one = jobs_of("one sort", lambda: ev.ranking_metrics(numbers, "raw"))
+    assert got == pytest.approx(wanted)
+    assert 0 < one < two
+    assert {k: v for k, v in ev.evaluate(df).items() if k in wanted} == pytest.approx(wanted)
+
+
 def test_regression_metrics_equal_the_evaluator(spark):
     rng = random.Random(3)
     rows = [(rng.gauss(0, 5), rng.gauss(0, 5)) for _ in range(200)]
