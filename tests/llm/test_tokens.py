@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from llm_helpers import documents  # noqa: E402
 
-from rimeframe.llm import huffman, packing  # noqa: E402
+from rimeframe.llm import huffman, packing, tokens  # noqa: E402
 from rimeframe.llm.tokens import encoder  # noqa: E402
 
 WORD, BYTE = map(public_tokenizers.path, ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -140,3 +141,41 @@ def test_added_tokens_are_those_of_the_file(path):
     got = [np.frombuffer(x, "<u2").tolist() for x in encoder(path).stream(texts)]
     assert got == [[*fresh.encode(t, add_special_tokens=False).ids, 1] for t in texts]
     assert fresh.token_to_id("<|endoftext|>") in got[0]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_usual_texts_are_joined_from_arrow_arrays(path, monkeypatch):
+    """Texts of single spaces and lone line ends never take the way text by text, and known pieces are not encoded."""
+    encode = tokens.Encoder(path)
+
+    def refuse(*_):
+        raise AssertionError("text by text")
+
+    texts = ["one two  three.\nfour é日", "", None, " lead and trail ", "x", "one two\nfour"]
+    with monkeypatch.context() as m:
+        m.setattr(tokens.Encoder, "__call__", refuse)
+        m.setattr(tokens, "BYTES_AT_ONCE", 20)
+        got = [np.frombuffer(x, "<u2").tolist() for x in encode.stream(texts)]
+        m.setattr(tokens.Encoder, "_marked", refuse)
+        assert [np.frombuffer(x, "<u2").tolist() for x in encode.stream(texts[::-1])] == got[::-1]
+    assert got == [ids_of(path, x).tolist() for x in texts]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_usual_and_unusual_texts_keep_their_order(path, monkeypatch):
+    monkeypatch.setattr(tokens, "LONG_TEXT", 40)
+    monkeypatch.setattr(tokens, "KNOWN_BYTES", 64)
+    texts = ["a b", "a\n\nb", "c <|endoftext|>", "b " * 30, "d\te", None, "a   b", "\na", "a b", "a  b"] * 2
+    parts = list(tokens.Encoder(path).packed(pa.array(texts).slice(1)))
+    got = [np.frombuffer(x.as_py(), "<u2").tolist() for part in parts for x in part]
+    assert got == [ids_of(path, x).tolist() for x in texts[1:]]
+
+
+def test_sketches_and_document_counts_equal_those_of_each_document(spark):
+    docs = [[1], [7, 7, 9, 1], [5, 1], [1], [9, 9, 9, 9, 1]]
+    bounds = np.cumsum([0, *map(len, docs)])
+    found = tokens.sketches(np.concatenate(docs).astype("<u2"), bounds)
+    assert found.tolist() == [tokens.sketches(np.array(x, "<u2"), np.array([0, len(x)]))[0] for x in docs]
+    rows = spark.createDataFrame([(np.array(x, "<u2").tobytes(),) for x in docs], "ids binary")
+    counted = tokens.id_counts(rows, "<u2", of_documents=True).collect()
+    assert {r["id"]: r["n"] for r in counted} == {1: 5, 5: 1, 7: 1, 9: 2}
