@@ -40,7 +40,7 @@ def before_test_year(rows):
 
 
 @pytest.mark.parametrize(
-    "name", ["m13_model_comparison", "m14_ablation_without_rain", "m8_stage_composition"])
+    "name", ["m13_model_comparison", "m14_ablation_without_rain", "m8_stage_composition", "m9_forest_grid"])
 def test_classifiers(name, gold, fitted_rows):
     assert set(fitted_rows(name)) == {before_test_year(ml.training_view(gold)).count()}
 
