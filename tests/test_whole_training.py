@@ -45,6 +45,11 @@ def test_classifiers(name, gold, fitted_rows):
     assert set(fitted_rows(name)) == {before_test_year(ml.training_view(gold)).count()}
 
 
+def test_forest_of_temperatures(gold, fitted_rows):
+    known = before_test_year(gold).filter(F.col("next_day_tmin_c").isNotNull())
+    assert fitted_rows("m16_forest_temperature") == [known.count()]
+
+
 def test_large_tables_are_fitted_one_at_a_time(spark, monkeypatch):
     rows = spark.range(10)
     for bound, wanted in ((5, 1), (25, 2), (1000, 4)):
