@@ -39,6 +39,11 @@ def before_test_year(rows):
     return rows.filter(F.col("year") < adapters.TEST_YEAR)
 
 
+def known_labels(gold):
+    view = before_test_year(ml.horizon_view(gold))
+    return [view.filter(F.col(f"y_h{k}").isNotNull()).count() for k in fv.HORIZONS]
+
+
 @pytest.mark.parametrize(
     "name", ["m13_model_comparison", "m14_ablation_without_rain", "m8_stage_composition", "m9_forest_grid"])
 def test_classifiers(name, gold, fitted_rows):
@@ -50,6 +55,10 @@ def test_forest_of_temperatures(gold, fitted_rows):
     assert fitted_rows("m16_forest_temperature") == [known.count()]
 
 
+def test_horizons(gold, fitted_rows):
+    assert sorted(fitted_rows("m15_horizon_skill")) == sorted(known_labels(gold))
+
+
 def test_large_tables_are_fitted_one_at_a_time(spark, monkeypatch):
     rows = spark.range(10)
     for bound, wanted in ((5, 1), (25, 2), (1000, 4)):
