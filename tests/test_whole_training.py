@@ -59,6 +59,10 @@ def test_horizons(gold, fitted_rows):
     assert sorted(fitted_rows("m15_horizon_skill")) == sorted(known_labels(gold))
 
 
+def test_shared_horizons(gold, fitted_rows):
+    assert fitted_rows("m15_shared_horizons") == [sum(known_labels(gold))]
+
+
 def test_large_tables_are_fitted_one_at_a_time(spark, monkeypatch):
     rows = spark.range(10)
     for bound, wanted in ((5, 1), (25, 2), (1000, 4)):
