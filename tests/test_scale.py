@@ -1,11 +1,15 @@
 """Steps that must not grow faster than the tables: shared inputs, landed files and medians."""
 
 import random
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
+from rimeframe import storage
 from rimeframe.catalog import QUERIES, adapters, source_queries
 from rimeframe.operators import medians as md
 
@@ -83,3 +87,24 @@ def test_medians_need_no_sketch(spark, monkeypatch):
     found = {r.feature: (r.n, r.median) for r in md.exact_medians(table, columns).collect()}
     assert found == {"ends": (5, 5e-324), "zeros": (4, 0.0), "low": (3, -2.5), "whole": (4, 2.0)}
     assert str(found["zeros"][1]) == "0.0"
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in disk.getAllFiles().mkString("\n").splitlines() if "/shuffle_" in name}
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    groups = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before, setting = shuffle_files(spark), spark.conf.get(storage.CLEANUP)
+    with storage.staging(spark) as put:
+        with ThreadPoolExecutor(3) as threads:
+            write = inheritable_thread_target(spark)(lambda name: storage.stage(groups, name))
+            staged = [put(groups, "a"), *threads.map(write, ["b", "c", "d"])]
+        ends = time.monotonic() + 10
+        while shuffle_files(spark) - before and time.monotonic() < ends:
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - before
+        assert spark.conf.get(storage.CLEANUP) == setting
+        assert [t.count() for t in staged] == [7] * 4
+    assert groups.agg(F.sum("count")).first()[0] == 1000
