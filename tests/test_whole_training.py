@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rimeframe import fixed_values as fv
 from rimeframe.catalog import QUERIES, adapters
 from rimeframe.catalog import model_queries as mq
+from rimeframe.operators import folds as fo
 from rimeframe.operators import modelling as ml
 from rimeframe.storage import stage
 
@@ -69,3 +70,16 @@ def test_large_tables_are_fitted_one_at_a_time(spark, monkeypatch):
         monkeypatch.setattr(ml, "ROWS_AT_ONCE", bound)
         assert ml.fits_at_once(rows, 4) == wanted
     assert ml.fits_at_once(rows.limit(0), 4) == 4 and ml.fits_at_once(rows, 1) == 1
+
+
+def test_combinations_on_large_tables_run_one_at_a_time(spark, gold, monkeypatch):
+    at_once, plain = [], ml.side_by_side
+    monkeypatch.setattr(ml, "side_by_side", lambda spark, jobs, n: at_once.append(n) or plain(spark, jobs, n))
+    monkeypatch.setattr(ml, "ROWS_AT_ONCE", 1, raising=False)
+    train, test = ml.split_by_year(ml.training_view(gold), adapters.TEST_YEAR)
+    choices, pipeline = {"maxIter": [1, 2]}, ml.frost_pipeline("lr")
+    grid = {str(i): x for i, x in enumerate(ml.parameter_grid("lr", pipeline.getStages()[-1], choices))}
+    assert len(ml.grid_scores(train, test, pipeline, grid, 4)) == 2
+    assert len(ml.tune(train, "lr", 2, 4, choices).avgMetrics) == 2
+    assert fo.tune_forward(fo.dated_view(gold), "lr", 2, choices=choices, parallelism=4).scores.count() == 4
+    assert at_once == [1] * 4
